@@ -98,8 +98,9 @@ def ruled_scores(
         F.max("_n").alias("_n"),
         F.max("_emphasis").alias("_emphasis"),
     )
+    # Rounded, so that the signs do not depend on the order in which the scores were added up.
     e = F.col("_emphasis")
-    total, pos, neg = F.col("_total"), F.col("_pos"), F.col("_neg")
+    total, pos, neg = (F.round(name, 9) for name in ("_total", "_pos", "_neg"))
     parts = sums.select(
         id_col,
         F.when(total > 0, total + e).when(total < 0, total - e).otherwise(total).alias("_total"),
