@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from math import ceil
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import IndexToString, StringIndexer
+from pyspark.ml.feature import IndexToString, StringIndexerModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -15,6 +16,7 @@ from postlens.operators.features import gram_features, hashed_stages
 from postlens.operators.labels import trainable
 
 PREDICTED = "ml_predicted_label"
+ROWS_PER_TASK = 2_000
 # Columns the stages add that no caller needs.
 INNER_COLUMNS = ("words", "pairs", "grams", "raw_features", "weighted_features", "features", "rawPrediction", "probability", "prediction")
 
@@ -46,33 +48,40 @@ def train(
     every post gets a real label. The labelling keywords are part of the text, so the accuracy is optimistic.
     """
     labeled = trainable(posts, text_col, label_col, other)
-    sizes = labeled.agg(
+    # One pass gives the sizes of both sides and the label order; there are as many rows as labels.
+    by_label = labeled.groupBy(label_col).agg(
         F.count_if(F.col(split_col) == "train").alias("train_rows"), F.count_if(F.col(split_col) == "test").alias("test_rows")
-    ).first()
-    if sizes["train_rows"] + sizes["test_rows"] < min_rows:
+    ).collect()
+    train_rows, test_rows = (sum(row[side] for row in by_label) for side in ("train_rows", "test_rows"))
+    if train_rows + test_rows < min_rows:
         raise ValueError(f"not enough labelled posts to train a classifier: need {min_rows}")
-    fit_rows = labeled.filter(F.col(split_col) == "train")
-    indexer = StringIndexer(inputCol=label_col, outputCol="label", handleInvalid="error").fit(fit_rows)
+    known = sorted((row for row in by_label if row["train_rows"]), key=lambda row: (-row["train_rows"], row[label_col]))
+    names = [row[label_col] for row in known]
+    indexer = StringIndexerModel.from_labels(names, inputCol=label_col, outputCol="label", handleInvalid="error")
+    # Each iteration is a job whose tasks all send back a full gradient: few rows are not worth many tasks. On a large
+    # input this number is above that of the partitions and changes nothing.
+    tasks = ceil(max(train_rows, 1) / ROWS_PER_TASK)
+    fit_rows = labeled.filter(F.col(split_col) == "train").coalesce(tasks)
     indexed = indexer.transform(fit_rows)
     if features == "hashed":
         learner = LogisticRegression(maxIter=max_iter or 50, regParam=0.01)
         fitted = Pipeline(stages=[*hashed_stages(text_col), learner]).fit(indexed)
         stages = list(fitted.stages)
     elif features == "grams":
-        learner = LogisticRegression(maxIter=max_iter or 1000, regParam=1.0 / sizes["train_rows"], standardization=False)
+        learner = LogisticRegression(maxIter=max_iter or 1000, regParam=1.0 / train_rows, standardization=False)
         recipe = gram_features(fit_rows, text_col)
         stages = [*recipe.stages, learner.fit(recipe.transform(indexed))]
     else:
         raise ValueError(f"unknown features: {features}")
-    decoder = IndexToString(inputCol="prediction", outputCol=PREDICTED, labels=list(indexer.labels))
+    decoder = IndexToString(inputCol="prediction", outputCol=PREDICTED, labels=names)
     model = PipelineModel([*stages, decoder])
     tested = apply_model(model, labeled.filter(F.col(split_col) == "test"))
     scores = classification_metrics(tested, label_col).first()
     metrics = {
         "f1": scores["f1"],
         "accuracy": scores["accuracy"],
-        "train_rows": sizes["train_rows"],
-        "test_rows": sizes["test_rows"],
+        "train_rows": train_rows,
+        "test_rows": test_rows,
     }
     return TrainedModel(model, metrics)
 

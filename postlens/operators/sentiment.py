@@ -7,7 +7,7 @@ shuffle. The scores are joined to the posts by id, which has to be unique and no
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable
 from string import punctuation
 
 from pyspark.sql import Column, DataFrame
@@ -74,18 +74,19 @@ def ruled_scores(
         caps_differ(F.col("_words")).alias("_caps"),
         F.when(F.lower("_text").contains(rules.contrast), first_place(F.col("_words"), rules.contrast)).alias("_turn"),
         emphasis(F.col("_text"), rules).alias("_emphasis"),
-        with_neighbours(F.col("_words")).alias("_places"),
+        *neighbour_arrays(F.col("_words")),
     )
-    rows = prepared.select(id_col, "_n", "_caps", "_turn", "_emphasis", F.posexplode_outer("_places").alias("_i", "_near"))
-    tokens = rows.withColumn("_w0", F.lower("_near._word0")).filter(
-        F.col("_w0").isNotNull() & ~F.col("_w0").isin(*rules.boosters_up, *rules.boosters_down)
+    whole = [id_col, "_n", "_caps", "_turn", "_emphasis"]
+    placed = prepared.select(*whole, F.arrays_zip("b3", "b2", "b1", "w0", "a1", "a2").alias("_places"))
+    rows = placed.select(*whole, F.posexplode_outer("_places").alias("_i", "_near"))
+    tokens = rows.withColumn("_w0", F.lower("_near.w0")).filter(
+        f"_w0 IS NOT NULL AND _w0 NOT IN {listed([*rules.boosters_up, *rules.boosters_down])}"
     )
-    hits = lookup.join(tokens, "_w0", id_col).select(
-        id_col,
-        *["_n", "_caps", "_turn", "_emphasis", "_i", "_w0"],
-        F.col("valence").alias("_valence"),
-        *[F.lower(F.col("_near")[f"_word{k}"]).alias(name) for name, k in NEIGHBOURS.items()],
-        *[all_caps(F.col("_near")[f"_word{k}"]).alias(f"_up{-k}") for k in (0, -1, -2, -3)],
+    hits = lookup.join(tokens, "_w0", id_col).selectExpr(
+        f"`{id_col}`",
+        *["_n", "_caps", "_turn", "_emphasis", "_i", "_w0", "valence AS _valence"],
+        *[f"lower(_near.{name}) AS _{name}" for name in ("b1", "b2", "b3", "a1", "a2")],
+        *[f"_near.{name} = upper(_near.{name}) AND _near.{name} <> lower(_near.{name}) AS _up{k}" for k, name in enumerate(("w0", "b1", "b2", "b3"))],
     )
     for name in ("_b1", "_b2", "_b3", "_a1"):
         hits = lookup.join(hits, name, id_col, "left", prefix=f"{name}_")
@@ -144,10 +145,6 @@ def add_sentiment(
 
 # --- words and their context ---------------------------------------------------------------------------------------
 
-# Names of the neighbours of a hit: b is before, a is after.
-NEIGHBOURS = {"_b1": -1, "_b2": -2, "_b3": -3, "_a1": 1, "_a2": 2}
-
-
 def scored_words(text: Column) -> Column:
     """Words between white space, without outer punctuation unless two or fewer characters would remain."""
 
@@ -173,12 +170,12 @@ def first_place(words: Column, word: str) -> Column:
     return F.when(place > 0, place - 1)
 
 
-def with_neighbours(words: Column) -> Column:
-    """Structs of each word and its neighbours, ``_word-3`` to ``_word2``; the last three structs have no word."""
+def neighbour_arrays(words: Column) -> list[Column]:
+    """The words shifted so that equal places hold a word w0, the three before it (b1 to b3) and the two after it."""
     none = F.lit(None).cast("string")
-    arrays = [F.concat(F.array(*[none] * -k), words).alias(f"_word{k}") for k in (-3, -2, -1)]
-    arrays += [F.slice(words, 1 + k, F.size(words)).alias(f"_word{k}") for k in (0, 1, 2)]
-    return F.arrays_zip(*arrays)
+    before = [F.concat(F.array_repeat(none, k), words).alias(f"b{k}") for k in (1, 2, 3)]
+    after = [F.slice(words, k + 1, F.size(words)).alias(f"a{k}") for k in (1, 2)]
+    return [*before, words.alias("w0"), *after]
 
 
 def emphasis(text: Column, rules: SentimentRules) -> Column:
@@ -197,7 +194,7 @@ def count_of(text: Column, mark: str) -> Column:
     return F.length(text) - F.length(F.replace(text, F.lit(mark), F.lit("")))
 
 
-# --- the rules -----------------------------------------------------------------------------------------------------
+# --- the rules, as SQL expressions ----------------------------------------------------------------------------------
 
 
 def apply_rules(hits: DataFrame, rules: SentimentRules) -> DataFrame:
@@ -205,118 +202,109 @@ def apply_rules(hits: DataFrame, rules: SentimentRules) -> DataFrame:
 
     Each rule reads the score the former one left, so each is a column of its own.
     """
-    skipped = is_word("_w0", rules.not_a_booster[0]) & is_word("_a1", rules.not_a_booster[1])
-    scored = hits.filter(~skipped).withColumn("_score", plain_valence(rules))
-    score = F.col("_score")
-    raised = F.when(score > 0, score + rules.caps_weight).otherwise(score - rules.caps_weight)
-    scored = scored.withColumn("_score", F.when(F.col("_up0") & F.col("_caps"), raised).otherwise(score))
-    scored = scored.withColumns(
-        {
-            **{f"_degree{k}": degree(k, rules) for k in (1, 2, 3)},
-            "_factor1": factor(1, F.lit(False), F.lit(False), rules),
-            "_factor2": second_factor(rules),
-            "_factor3": third_factor(rules),
-        }
+    skipped = f"{is_word('_w0', rules.not_a_booster[0])} AND {is_word('_a1', rules.not_a_booster[1])}"
+    scored = hits.filter(f"NOT ({skipped})").withColumn("_score", F.expr(plain_valence(rules)))
+    caps = number(rules.caps_weight)
+    raised = f"CASE WHEN _up0 AND _caps THEN _score + CASE WHEN _score > 0 THEN {caps} ELSE -{caps} END ELSE _score END"
+    scored = scored.withColumn("_score", F.expr(raised)).selectExpr(
+        "*", *[f"{degree(k, rules)} AS _degree{k}" for k in (1, 2, 3)], *[f"{factor(k, rules)} AS _factor{k}" for k in (1, 2, 3)]
     )
     for k, share in ((1, 1.0), (2, rules.second_word_share), (3, rules.third_word_share)):
-        scored = scored.withColumn("_score", (score + moved(score, k, share, rules)) * F.col(f"_factor{k}"))
-    reach = in_reach(3)
-    before = idiom_values([("_b1", "_w0"), ("_b2", "_b1", "_w0"), ("_b2", "_b1"), ("_b3", "_b2", "_b1"), ("_b3", "_b2")], rules)
-    after = idiom_values([("_w0", "_a1", "_a2"), ("_w0", "_a1")], rules)
-    phrases = F.array(phrase("_b3", "_b2", "_b1"), phrase("_b3", "_b2"), phrase("_b2", "_b1"))
-    degrees = F.size(F.filter(phrases, lambda p: p.isin(*rules.booster_phrases_down))) * rules.booster_weight
-    scored = scored.withColumn(
-        "_score",
-        F.when(reach, F.coalesce(F.get(after, F.lit(0)), F.get(before, F.lit(0)), score) - degrees).otherwise(score),
-    )
-    lone_least = in_reach(1) & is_word("_b1", rules.least) & ~is_word("_b2", *rules.least_lead)
-    scored = scored.withColumn("_score", F.when(lone_least, score * rules.negation_weight).otherwise(score))
-    return scored.withColumn(
-        "_score",
-        F.when(F.col("_i") < F.col("_turn"), score * rules.before_contrast)
-        .when(F.col("_i") > F.col("_turn"), score * rules.after_contrast)
-        .otherwise(score),
+        scored = scored.withColumn("_score", F.expr(f"(_score + {moved(k, share, rules)}) * _factor{k}"))
+    lone_least = f"{in_reach(1)} AND {is_word('_b1', rules.least)} AND NOT {is_word('_b2', *rules.least_lead)}"
+    steps = (
+        with_idioms(rules),
+        f"CASE WHEN {lone_least} THEN _score * {number(rules.negation_weight)} ELSE _score END",
+        f"CASE WHEN _i < _turn THEN _score * {number(rules.before_contrast)} "
+        f"WHEN _i > _turn THEN _score * {number(rules.after_contrast)} ELSE _score END",
     )
+    for step in steps:
+        scored = scored.withColumn("_score", F.expr(step))
+    return scored
+
+
+def number(value: float) -> str:
+    return f"{float(value)!r}D"
+
+
+def literal(word: str) -> str:
+    return "'" + word.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
 
+def listed(words: Iterable[str]) -> str:
+    return "(" + ", ".join(literal(word) for word in words) + ")"
 
-def is_word(name: str, *words: str) -> Column:
-    return F.coalesce(F.col(name).isin(*words), F.lit(False))
 
+def is_word(name: str, *words: str) -> str:
+    return f"coalesce({name} IN {listed(words)}, false)"
 
-def in_reach(k: int) -> Column:
+
+def in_reach(k: int) -> str:
     """The k-th word before the hit exists and is no lexicon word itself."""
-    return F.col(f"_b{k}").isNotNull() & F.col(f"_b{k}_valence").isNull()
+    return f"(_b{k} IS NOT NULL AND _b{k}_valence IS NULL)"
 
 
-def plain_valence(rules: SentimentRules) -> Column:
+def plain_valence(rules: SentimentRules) -> str:
     """The valence of a hit; a "no" before a lexicon word has none of its own but negates that word."""
-    after_no = (
-        is_word("_b1", rules.no_word)
-        | is_word("_b2", rules.no_word)
-        | (is_word("_b3", rules.no_word) & is_word("_b1", *rules.no_links))
-    )
+    no = rules.no_word
+    linked = f"({is_word('_b3', no)} AND {is_word('_b1', *rules.no_links)})"
     return (
-        F.when(after_no, F.col("_valence") * rules.negation_weight)
-        .when(is_word("_w0", rules.no_word) & F.col("_a1_valence").isNotNull(), F.lit(0.0))
-        .otherwise(F.col("_valence"))
+        f"CASE WHEN {is_word('_b1', no)} OR {is_word('_b2', no)} OR {linked} THEN _valence * {number(rules.negation_weight)} "
+        f"WHEN {is_word('_w0', no)} AND _a1_valence IS NOT NULL THEN 0D ELSE _valence END"
     )
 
 
-def degree(k: int, rules: SentimentRules) -> Column:
+def degree(k: int, rules: SentimentRules) -> str:
     """Weight of the k-th word before as a degree word, or null."""
-    word = F.col(f"_b{k}")
-    weight = F.when(word.isin(*rules.boosters_up), F.lit(rules.booster_weight)).when(
-        word.isin(*rules.boosters_down), F.lit(-rules.booster_weight)
+    weight = number(rules.booster_weight)
+    return (
+        f"CASE WHEN NOT {in_reach(k)} THEN NULL WHEN {is_word(f'_b{k}', *rules.boosters_up)} THEN {weight} "
+        f"WHEN {is_word(f'_b{k}', *rules.boosters_down)} THEN -{weight} END"
     )
-    return F.when(in_reach(k), weight)
 
 
-def moved(score: Column, k: int, share: float, rules: SentimentRules) -> Column:
+def moved(k: int, share: float, rules: SentimentRules) -> str:
     """What a degree word adds: away from zero or towards it, more in capitals, less with distance."""
-    weight = F.col(f"_degree{k}")
-    signed = F.when(score < 0, -weight).otherwise(weight)
-    caps = F.when(score > 0, F.lit(rules.caps_weight)).otherwise(F.lit(-rules.caps_weight))
-    added = signed + F.when(F.col(f"_up{k}") & F.col("_caps"), caps).otherwise(F.lit(0.0))
-    return F.coalesce(added * share, F.lit(0.0))
+    caps = number(rules.caps_weight)
+    signed = f"CASE WHEN _score < 0 THEN -_degree{k} ELSE _degree{k} END"
+    shouted = f"CASE WHEN NOT (_up{k} AND _caps) THEN 0D WHEN _score > 0 THEN {caps} ELSE -{caps} END"
+    return f"coalesce(({signed} + {shouted}) * {number(share)}, 0D)"
+
 
+def factor(k: int, rules: SentimentRules) -> str:
+    """What the k-th word before multiplies the score with: a negation flips and damps it.
 
-def factor(k: int, raised: Column, kept: Column, rules: SentimentRules) -> Column:
-    """What the k-th word before multiplies the score with: a negation flips and damps it."""
-    word = F.col(f"_b{k}")
-    negated = is_word(f"_b{k}", *rules.negations) | F.coalesce(word.contains(rules.negation_part), F.lit(False))
+    A "never so" raises it and a "without doubt" leaves it. As published, a link such as "so" right before the hit
+    raises it at the third place even without the leading word.
+    """
+    (without, doubt), links = rules.doubt, rules.never_links
+    raised, kept = "false", "false"
+    if k == 2:
+        raised = f"{is_word('_b2', rules.never)} AND {is_word('_b1', *links)}"
+        kept = f"{is_word('_b2', without)} AND {is_word('_b1', doubt)}"
+    if k == 3:
+        raised = f"({is_word('_b3', rules.never)} AND {is_word('_b2', *links)}) OR {is_word('_b1', *links)}"
+        kept = f"{is_word('_b3', without)} AND ({is_word('_b2', doubt)} OR {is_word('_b1', doubt)})"
+    negated = f"{is_word(f'_b{k}', *rules.negations)} OR coalesce(contains(_b{k}, {literal(rules.negation_part)}), false)"
     return (
-        F.when(~in_reach(k), F.lit(1.0))
-        .when(raised, F.lit(rules.never_weight))
-        .when(kept, F.lit(1.0))
-        .when(negated, F.lit(rules.negation_weight))
-        .otherwise(F.lit(1.0))
+        f"CASE WHEN NOT {in_reach(k)} THEN 1D WHEN {raised} THEN {number(rules.never_weight)} WHEN {kept} THEN 1D "
+        f"WHEN {negated} THEN {number(rules.negation_weight)} ELSE 1D END"
     )
 
 
-def second_factor(rules: SentimentRules) -> Column:
-    without, doubt = rules.doubt
-    raised = is_word("_b2", rules.never) & is_word("_b1", *rules.never_links)
-    return factor(2, raised, is_word("_b2", without) & is_word("_b1", doubt), rules)
-
-
-def third_factor(rules: SentimentRules) -> Column:
-    """As published, a link right before the hit raises it here even without the leading word."""
-    without, doubt = rules.doubt
-    raised = (is_word("_b3", rules.never) & is_word("_b2", *rules.never_links)) | is_word("_b1", *rules.never_links)
-    return factor(3, raised, is_word("_b3", without) & (is_word("_b2", doubt) | is_word("_b1", doubt)), rules)
-
+def with_idioms(rules: SentimentRules) -> str:
+    """Idioms replace the score of a hit with three words before it: a phrase that starts at the hit, the longer one
+    first, else the first of the phrases that end at it or before it. Degree phrases before it then lower it."""
 
-def phrase(*names: str) -> Column:
-    """Neighbouring words as one string, null where one of them is missing."""
-    parts = [F.col(names[0])]
-    for name in names[1:]:
-        parts += [F.lit(" "), F.col(name)]
-    return F.concat(*parts)
+    def phrase(names: str) -> str:
+        return "concat(" + ", ' ', ".join(f"_{name}" for name in names.split()) + ")"
 
+    def phrases(*groups: str) -> str:
+        return "array(" + ", ".join(phrase(names) for names in groups) + ")"
 
-def idiom_values(places: Sequence[tuple[str, ...]], rules: SentimentRules) -> Column:
-    """Scores of the idioms found at the places, in their order."""
-    pairs = [F.lit(part) for idiom, weight in rules.idioms.items() for part in (idiom, float(weight))]
-    idioms = F.create_map(*pairs).cast("map<string,double>")
-    found = F.transform(F.array(*[phrase(*names) for names in places]), lambda p: F.try_element_at(idioms, p))
-    return F.filter(found, lambda value: value.isNotNull())
+    weights = "map(" + ", ".join(f"{literal(i)}, {number(w)}" for i, w in rules.idioms.items()) + ")"
+    places = phrases("w0 a1 a2", "w0 a1", "b1 w0", "b2 b1 w0", "b2 b1", "b3 b2 b1", "b3 b2")
+    found = f"filter(transform({places}, p -> try_element_at({weights}, p)), w -> w IS NOT NULL)"
+    lowered = f"size(filter({phrases('b3 b2 b1', 'b3 b2', 'b2 b1')}, p -> p IN {listed(rules.booster_phrases_down)}))"
+    score = f"coalesce(get({found}, 0), _score)" if rules.idioms else "_score"
+    return f"CASE WHEN {in_reach(3)} THEN {score} - {lowered} * {number(rules.booster_weight)} ELSE _score END"

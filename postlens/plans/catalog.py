@@ -7,7 +7,7 @@ in the documents.
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import partial
+from functools import lru_cache, partial
 
 from pyspark.ml import Pipeline
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -622,7 +622,9 @@ def classification_metrics(spark: SparkSession, sf: str) -> DataFrame:
     return evaluate.classification_metrics(guessed_language(spark, sf), "label", "prediction")
 
 
+@lru_cache(maxsize=8)
 def trained(spark: SparkSession, sf: str, kind: str, stratified: bool) -> tuple[classify.TrainedModel, DataFrame]:
+    """A model fitted once per session and table; several reports read it, as in the whole job."""
     rows = labeled(spark, sf).select("id", "text", "weak_label")
     split = splits.add_stratified_split(rows) if stratified else splits.add_split(rows)
     return classify.train(split, features=kind), split

@@ -17,6 +17,10 @@ from postlens.plans.oracles import ORACLES  # noqa: E402
 from postlens.session import build_session  # noqa: E402
 
 
+# Spark type → DuckDB type
+ALIKE = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "boolean": "BOOLEAN"}
+
+
 def views(folder: str) -> duckdb.DuckDBPyConnection:
     connection = duckdb.connect()
     for path in glob.glob(f"{folder}/*.parquet"):
@@ -50,6 +54,10 @@ def compare(spark, connection, folder: str, key: str) -> str:
     sql_took = time.time() - started
     if sorted(names) != sorted(frame.columns):
         return f"FAIL {key}: columns {sorted(frame.columns)} != {sorted(names)}"
+    types = dict(zip(names, (str(d[1]) for d in cursor.description)))
+    odd_types = [(c, t, types[c]) for c, t in frame.dtypes if ALIKE.get(t, t.upper()) != types[c].upper()]
+    if odd_types:
+        print(f"     types of {key}: {odd_types}")
     left, right = sorted_rows(frame.columns, rows), sorted_rows(names, expected)
     if left != right:
         odd = [(a, b) for a, b in zip(left, right) if a != b]
