@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,12 +15,15 @@ SALTS = 16
 
 def valence_table(spark: SparkSession, valences: Mapping[str, float]) -> DataFrame:
     """A (token, valence) table from a mapping."""
-    return spark.createDataFrame([(t, float(v)) for t, v in valences.items()], "token STRING, valence DOUBLE")
+    columns = {"token": pa.array(valences.keys(), pa.string()), "valence": pa.array(map(float, valences.values()), pa.float64())}
+    return spark.createDataFrame(pa.table(columns), "token STRING, valence DOUBLE")
 
 
 def affect_table(spark: SparkSession, affects: Mapping[str, Iterable[str]]) -> DataFrame:
     """A (token, affect) table, one row per pair, from a mapping."""
-    return spark.createDataFrame([(t, a) for t, names in affects.items() for a in names], "token STRING, affect STRING")
+    pairs = [(token, affect) for token, names in affects.items() for affect in names]
+    columns = {name: pa.array([pair[i] for pair in pairs], pa.string()) for i, name in enumerate(("token", "affect"))}
+    return spark.createDataFrame(pa.table(columns), "token STRING, affect STRING")
 
 
 def fits_broadcast(table: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
