@@ -49,7 +49,10 @@ def keyword_counts(
 
 def word_counts(lines: DataFrame, value_col: str = "value") -> DataFrame:
     """Occurrences of each blank-separated word of the lines."""
-    return lines.select(F.explode(line_words(F.col(value_col))).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("count"))
+    words = lines.select(line_words(F.col(value_col)).alias("_words"))
+    # The outer explode keeps Spark from inferring a filter on the size of the array, which would split twice.
+    rows = words.select(F.explode_outer("_words").alias("word")).filter(F.col("word").isNotNull())
+    return rows.groupBy("word").agg(F.count(F.lit(1)).alias("count"))
 
 
 def row_count(frame: DataFrame, name: str = "post_count") -> DataFrame:

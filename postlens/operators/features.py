@@ -23,7 +23,8 @@ from postlens.functions.text import GRAM_TOKEN, bigrams, gram_tokens, space_word
 # Sizes of the hashed and of the n-gram feature space.
 HASHED_SIZE = 65_536
 GRAM_SIZE = 4_096
-SALTS = 16
+# Words whose frequencies are broadcast: a few megabytes.
+COMMON_TERMS = 100_000
 
 
 def hashed_stages(text_col: str = "text", features_col: str = "features", size: int = HASHED_SIZE) -> list:
@@ -42,19 +43,20 @@ def term_counts(posts: DataFrame, id_col: str = "id", text_col: str = "text") ->
     return terms.groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
-def tfidf_terms(posts: DataFrame, id_col: str = "id", text_col: str = "text", salts: int = SALTS) -> DataFrame:
+def tfidf_terms(posts: DataFrame, id_col: str = "id", text_col: str = "text", common: int = COMMON_TERMS) -> DataFrame:
     """Weight tf * ln((n + 1) / (df + 1)) of each word in each post.
 
-    Counts and frequencies meet by word. A common word occurs in a large share of the posts, so the posts are spread
-    over salts and the frequency table, one row per word, is repeated once per salt.
+    Counts meet frequencies by word. The most frequent words make up most of the counts and any of them can be in a
+    third of all posts, so their frequencies, ``common`` rows at most, are broadcast and their counts stay where they
+    are. Each of the other words is in at most one ``common``-th of all counts, so they are joined by a shuffle.
     """
     counts = term_counts(posts, id_col, text_col)
     frequency = counts.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    repeated = frequency.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    salted = counts.withColumn("_salt", F.pmod(F.xxhash64(id_col), F.lit(salts)).cast("int"))
+    top = F.broadcast(frequency.orderBy(F.desc("df"), "term").limit(common))
+    rest = counts.join(top.select("term"), "term", "left_anti").join(frequency, "term")
     size = posts.agg(F.count(F.lit(1)).alias("_posts"))
+    joined = counts.join(top, "term").unionByName(rest).withColumn("_posts", size.scalar())
     weight = F.col("tf") * F.log((F.col("_posts") + 1) / (F.col("df") + 1))
-    joined = salted.join(repeated, ["term", "_salt"]).withColumn("_posts", size.scalar())
     return joined.select(id_col, "term", "tf", "df", F.round(weight, 6).alias("tfidf"))
 
 

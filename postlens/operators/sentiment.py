@@ -86,7 +86,9 @@ def ruled_scores(
         f"`{id_col}`",
         *["_n", "_caps", "_turn", "_emphasis", "_i", "_w0", "valence AS _valence"],
         *[f"lower(_near.{name}) AS _{name}" for name in ("b1", "b2", "b3", "a1", "a2")],
-        *[f"_near.{name} = upper(_near.{name}) AND _near.{name} <> lower(_near.{name}) AS _up{k}" for k, name in enumerate(("w0", "b1", "b2", "b3"))],
+        # As an array function this also ends the generated loop over all tokens here: with the rules in it, the loop
+        # would be too long for the JVM to compile.
+        "transform(array(_near.w0, _near.b1, _near.b2, _near.b3), w -> w = upper(w) AND w <> lower(w)) AS _ups",
     )
     for name in ("_b1", "_b2", "_b3", "_a1"):
         hits = lookup.join(hits, name, id_col, "left", prefix=f"{name}_")
@@ -205,7 +207,7 @@ def apply_rules(hits: DataFrame, rules: SentimentRules) -> DataFrame:
     skipped = f"{is_word('_w0', rules.not_a_booster[0])} AND {is_word('_a1', rules.not_a_booster[1])}"
     scored = hits.filter(f"NOT ({skipped})").withColumn("_score", F.expr(plain_valence(rules)))
     caps = number(rules.caps_weight)
-    raised = f"CASE WHEN _up0 AND _caps THEN _score + CASE WHEN _score > 0 THEN {caps} ELSE -{caps} END ELSE _score END"
+    raised = f"CASE WHEN _ups[0] AND _caps THEN _score + CASE WHEN _score > 0 THEN {caps} ELSE -{caps} END ELSE _score END"
     scored = scored.withColumn("_score", F.expr(raised)).selectExpr(
         "*", *[f"{degree(k, rules)} AS _degree{k}" for k in (1, 2, 3)], *[f"{factor(k, rules)} AS _factor{k}" for k in (1, 2, 3)]
     )
@@ -267,7 +269,7 @@ def moved(k: int, share: float, rules: SentimentRules) -> str:
     """What a degree word adds: away from zero or towards it, more in capitals, less with distance."""
     caps = number(rules.caps_weight)
     signed = f"CASE WHEN _score < 0 THEN -_degree{k} ELSE _degree{k} END"
-    shouted = f"CASE WHEN NOT (_up{k} AND _caps) THEN 0D WHEN _score > 0 THEN {caps} ELSE -{caps} END"
+    shouted = f"CASE WHEN NOT (_ups[{k}] AND _caps) THEN 0D WHEN _score > 0 THEN {caps} ELSE -{caps} END"
     return f"coalesce(({signed} + {shouted}) * {number(share)}, 0D)"
 
 

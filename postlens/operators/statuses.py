@@ -81,7 +81,9 @@ def hashtag_arrays(statuses: DataFrame, *keep: str) -> DataFrame:
 
 def hashtag_rows(statuses: DataFrame, *keep: str) -> DataFrame:
     """One row per hashtag occurrence."""
-    return statuses.select(*keep, F.explode("entities.hashtags.text").alias("hashtag"))
+    # The outer explode keeps Spark from inferring a filter on the size of the array, which would build it twice.
+    rows = statuses.select(*keep, F.explode_outer("entities.hashtags.text").alias("hashtag"))
+    return rows.filter(F.col("hashtag").isNotNull())
 
 
 def hashtag_counts(statuses: DataFrame) -> DataFrame:

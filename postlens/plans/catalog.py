@@ -429,7 +429,7 @@ def post_type_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def word_count(spark: SparkSession, sf: str) -> DataFrame:
-    lines = posts(spark, sf).select(F.explode(F.split("text", "\n", -1)).alias("value"))
+    lines = posts(spark, sf).select(F.explode_outer(F.split("text", "\n", -1)).alias("value"))
     return counts.word_counts(lines)
 
 

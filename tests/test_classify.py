@@ -91,6 +91,12 @@ def test_tfidf_with_a_word_in_every_post(spark):
     assert got[(4, "even")] == (1, 25, round(math.log(51 / 26), 6))
 
 
+def test_tfidf_with_and_without_common_words_is_the_same(spark):
+    frame = spark.createDataFrame([(i, f"all w{i % 7} w{i % 11} x{i}") for i in range(80)], "id BIGINT, text STRING")
+    results = [sorted(features.tfidf_terms(frame, common=n).collect()) for n in (1, 5, 1000)]
+    assert results[0] == results[1] == results[2] and len(results[0]) > 200
+
+
 def test_gram_features_have_unit_length(spark):
     frame = spark.createDataFrame([(1, "aa bb aa"), (2, "bb cc")], "id BIGINT, text STRING")
     vocabulary = [(r["term"], r["count"]) for r in features.gram_vocabulary(frame, size=3).collect()]
