@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import lru_cache
 
 from pyspark.sql import SparkSession
 
@@ -26,6 +27,11 @@ def build_session(app_name: str = "postlens", master: str | None = None, **conf:
     return builder.getOrCreate()
 
 
+@lru_cache(maxsize=1)
+def local_folder() -> str:
+    return tempfile.mkdtemp(prefix="postlens-")
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new folder name below the shared folder the cluster names in ``spark.checkpoint.dir``.
 
@@ -36,6 +42,5 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError(f"set {CHECKPOINT_KEY} to a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="postlens-")
-        spark.conf.set(CHECKPOINT_KEY, base)
+        base = local_folder()
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"

@@ -53,6 +53,12 @@ def test_scores_without_the_text_do_not_shuffle_the_text(spark, sf, explain):
     assert shuffled and not any(re.search(r"\btext#", columns) for columns in shuffled)
 
 
+def test_enrichment_shuffles_the_text_once(spark, sf, explain):
+    plan = explain(catalog.enriched(spark, sf))
+    shuffled = re.findall(r"\(\d+\) Exchange\nInput \[\d+\]: \[(.*?)\]\nArguments: hashpartitioning", plan)
+    assert sum(bool(re.search(r"\btext#", columns)) for columns in shuffled) == 1
+
+
 def test_scratch_folder_is_the_one_the_session_names(spark):
     assert scratch_path(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
 
