@@ -5,7 +5,7 @@ from __future__ import annotations
 import importlib
 
 #: Modules with QUERIES and ORACLES.
-MODULES = ("sharding", "url_filter", "mixing", "quality", "warc", "embedding_dedup")
+MODULES = ("sharding", "url_filter", "mixing", "quality", "warc", "embedding_dedup", "decontamination")
 
 QUERIES: dict = {}
 ORACLES: dict = {}
