@@ -91,7 +91,7 @@ def _emit(depth: int, gram: int):
     def work(keys, texts):
         found = runs(texts, depth, gram)
         if found:
-            yield pa.RecordBatch.from_arrays([pa.array(found[1]), pa.array(found[2]), pa.array(np.array(keys, dtype=np.int64)[found[0]])], names=["first", "second", "id"])
+            yield pa.RecordBatch.from_arrays([pa.array(found[1]), pa.array(found[2]), pa.array(keys, pa.int64()).take(pa.array(found[0]))], names=["first", "second", "id"])
 
     return work
 
@@ -241,27 +241,26 @@ def remove_repeated(docs: DataFrame, depth: int = DEPTH, gram: int = GRAM, group
     overlapping or not, or in another row, repeated rows included. A null text counts as empty. n_spans counts the
     maximal removed stretches. Rows with equal or null doc_id are judged one by one. Other columns are not read.
     """
-    rows = docs.select(F.coalesce(F.col("doc_id"), F.lit(-1)).alias("id"), "doc_id", text_of().alias("text"))
-    every = over_texts(rows, _emit(depth, gram), "first long, second long, id long", "id")
+    rows = docs.select("doc_id", text_of().alias("text"))
+    every = over_texts(rows, _emit(depth, gram), "first long, second long, id long", "doc_id")
     strings = every.groupBy("first", "second").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("id"))
     strings = keep(strings, "window-runs")
     groups = strings.groupBy("first").agg(F.count(F.lit(1)).alias("strings"), F.max(F.col("n") == 1).alias("any_one"))
     groups = keep(groups.where("strings > 1 and any_one").drop("any_one"), "window-groups")
     whole = strings.where("n > 1").select("first", "second", F.lit(None).cast("binary").alias("starts"))
 
-    # one text for each distinct run of a mixed group gives its bytes
+    # one text for each distinct run of a mixed group gives its bytes; both joins with the texts use one shuffle of them
     wanted = strings.join(groups, "first").groupBy("id").agg(F.collect_list(F.struct("first", "second", (F.col("n") == 1).alias("one"))).alias("listed"))
-    asked = rows.join(wanted, "id", "left").where("listed is not null")
-    contexts = over_texts(asked.select(F.col("listed").alias("key"), "text"), _contexts(depth, gram), _CONTEXT, "key")
-    contexts = keep(contexts.dropDuplicates(["first", "second"]) if group else contexts, "window-contexts")
+    asked = rows.join(wanted, F.col("doc_id").eqNullSafe(F.col("id")))
+    contexts = over_texts(asked.select(F.col("listed").alias("key"), "text"), _contexts(depth, gram), _CONTEXT, "key").dropDuplicates(["first", "second"])
     sized = contexts.join(groups, "first")
     columns = [c.split(" ")[0] for c in _CONTEXT.split(", ")]
     small = sized.where(F.col("strings") <= group).select(*columns).repartition("first").sortWithinPartitions("first")
     large = sized.where(F.col("strings") > group).select(*columns)
-    found = keep(small.mapInArrow(_comparer(depth), _FOUND).union(_counted(large, depth)), "window-found")
+    found = small.mapInArrow(_comparer(depth), _FOUND).union(_counted(large, depth))
 
     listed = every.join(whole.union(found), ["first", "second"]).groupBy("id").agg(F.collect_list(F.struct("first", "second", "starts")).alias("listed"))
-    texts = rows.join(listed, "id", "left").select(F.struct("doc_id", "listed").alias("key"), "text")
+    texts = rows.join(listed, F.col("doc_id").eqNullSafe(F.col("id")), "left").select(F.struct("doc_id", "listed").alias("key"), "text")
     return over_texts(texts, _remover(depth, gram), _RESULT, "key")
 
 
