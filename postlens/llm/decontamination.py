@@ -207,15 +207,14 @@ def leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", block_byte
     schema = f"`{key}` {kinds[0]}, item_id {kinds[1]}, n_windows int, start long, `end` long, edits int"
     arrow = [{"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}.get(k) for k in kinds]
     found = None
-    for index in indexes(benchmark, block_bytes):
-        held = docs.sparkSession.sparkContext.broadcast(index)
+    for index in indexes(benchmark, block_bytes):  # Spark broadcasts an index with the function that uses it
 
-        def work(keys, texts, held=held):
-            rows = find_leaks(texts, held.value)
+        def work(keys, texts, index=index):
+            rows = find_leaks(texts, index)
             if rows:
                 t, item, n, start, end, edits = zip(*rows)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([keys[i] for i in t], arrow[0]), pa.array([held.value.names[i] for i in item], arrow[1]), pa.array(n, pa.int32()),
+                    [pa.array([keys[i] for i in t], arrow[0]), pa.array([index.names[i] for i in item], arrow[1]), pa.array(n, pa.int32()),
                      pa.array(start, pa.int64()), pa.array(end, pa.int64()), pa.array(edits, pa.int32())],
                     names=[key, "item_id", "n_windows", "start", "end", "edits"],
                 )
@@ -228,16 +227,15 @@ def leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", block_byte
 def without_leaks(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """The rows of ``docs`` without a passage of the benchmark, with all their columns; no row is moved."""
     at = docs.columns.index("text")
-    for index in indexes(benchmark, block_bytes):
-        held = docs.sparkSession.sparkContext.broadcast(index)
+    for index in indexes(benchmark, block_bytes):  # Spark broadcasts an index with the function that uses it
 
-        def work(batches, held=held):
+        def work(batches, index=index):
             for batch in batches:
                 texts = [(t.as_py() or "").encode() for t in batch.column(at)]
                 bad, first, size = set(), 0, 0
                 for i, text in enumerate([*texts, b""]):
                     if i == len(texts) or size + len(text) > 1 << 20:
-                        bad |= {first + r[0] for r in find_leaks(texts[first:i], held.value)}
+                        bad |= {first + r[0] for r in find_leaks(texts[first:i], index)}
                         first, size = i, 0
                     size += len(text)
                 yield batch.filter(pa.array([i not in bad for i in range(len(texts))]))

@@ -88,7 +88,7 @@ def _unit(rows: np.ndarray) -> np.ndarray:
 @dataclass(frozen=True)
 class Model:
     """Weights of the terms, the projection to the latent space, and the labelled vectors there. At most
-    (TERMS + SAMPLE) * DIMENSIONS numbers, about 1 MB, so it is broadcast whole."""
+    (TERMS + SAMPLE) * DIMENSIONS numbers, about 1 MB. Spark broadcasts it whole with the function that uses it."""
 
     idf: np.ndarray
     axes: np.ndarray
@@ -151,11 +151,10 @@ def fit(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> Model:
 
 def scored(docs: DataFrame, model: Model, key: str = "doc_id") -> DataFrame:
     """(``key``, score) of each row of ``docs``, from its whole text alone."""
-    held = docs.sparkSession.sparkContext.broadcast(model)
     kind = dict(docs.dtypes)[key]
 
     def work(keys, texts):
-        yield pa.RecordBatch.from_arrays([pa.array(keys, _ARROW[kind]) if kind in _ARROW else pa.array(keys), pa.array(held.value.score(term_counts(texts)))], names=[key, "score"])
+        yield pa.RecordBatch.from_arrays([pa.array(keys, _ARROW[kind]) if kind in _ARROW else pa.array(keys), pa.array(model.score(term_counts(texts)))], names=[key, "score"])
 
     return over_texts(docs, work, f"`{key}` {kind}, score double", key)
 

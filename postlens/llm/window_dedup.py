@@ -249,10 +249,10 @@ def remove_repeated(docs: DataFrame, depth: int = DEPTH, gram: int = GRAM, group
     groups = keep(groups.where("strings > 1 and any_one").drop("any_one"), "window-groups")
     whole = strings.where("n > 1").select("first", "second", F.lit(None).cast("binary").alias("starts"))
 
-    # one text for each distinct run of a mixed group gives its bytes; both joins with the texts use one shuffle of them
+    # a text with the least id gives the bytes of a run (rows that share this id give copies of repeated runs); both joins with the texts use one shuffle of them
     wanted = strings.join(groups, "first").groupBy("id").agg(F.collect_list(F.struct("first", "second", (F.col("n") == 1).alias("one"))).alias("listed"))
     asked = rows.join(wanted, F.col("doc_id").eqNullSafe(F.col("id")))
-    contexts = over_texts(asked.select(F.col("listed").alias("key"), "text"), _contexts(depth, gram), _CONTEXT, "key").dropDuplicates(["first", "second"])
+    contexts = over_texts(asked.select(F.col("listed").alias("key"), "text"), _contexts(depth, gram), _CONTEXT, "key")
     sized = contexts.join(groups, "first")
     columns = [c.split(" ")[0] for c in _CONTEXT.split(", ")]
     small = sized.where(F.col("strings") <= group).select(*columns).repartition("first").sortWithinPartitions("first")
