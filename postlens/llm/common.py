@@ -67,6 +67,26 @@ def over_texts(
     return rows.mapInArrow(run, schema)
 
 
+def keep_rows(docs: DataFrame, good: Callable[[list[bytes]], np.ndarray], text: str = "text") -> DataFrame:
+    """The rows for whose texts ``good`` says so, with all columns as they are; a null text counts as empty."""
+    at = docs.columns.index(text)
+
+    def run(batches):
+        for batch in batches:
+            texts = [(t.as_py() or "").encode() for t in batch.column(at)]
+            said, first, size = [], 0, 0
+            for i, data in enumerate(texts):
+                if i > first and size + len(data) > BATCH_BYTES:
+                    said.append(good(texts[first:i]))
+                    first, size = i, 0
+                size += len(data)
+            if texts:
+                said.append(good(texts[first:]))
+                yield batch.filter(pa.array(np.concatenate(said)))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def joined(texts: list[bytes], gap: bytes = b"\n") -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """All texts as one array of bytes, each followed by ``gap``, with the start and the length of each."""
     lengths = np.fromiter(map(len, texts), dtype=np.int64, count=len(texts))

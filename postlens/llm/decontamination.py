@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postlens.llm.common import over_texts, table
+from postlens.llm.common import keep_rows, over_texts, table
 
 #: Characters of a q-gram. All lengths are bytes of the normalised text (``normalised``).
 GRAM = 10
@@ -226,21 +226,14 @@ def leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", block_byte
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """The rows of ``docs`` without a passage of the benchmark, with all their columns; no row is moved."""
-    at = docs.columns.index("text")
-    for index in indexes(benchmark, block_bytes):  # Spark broadcasts an index with the function that uses it
+    for index in indexes(benchmark, block_bytes):
+
+        def clean(texts, index=index):
+            good = np.ones(len(texts), dtype=bool)
+            good[[row[0] for row in find_leaks(texts, index)]] = False
+            return good
 
-        def work(batches, index=index):
-            for batch in batches:
-                texts = [(t.as_py() or "").encode() for t in batch.column(at)]
-                bad, first, size = set(), 0, 0
-                for i, text in enumerate([*texts, b""]):
-                    if i == len(texts) or size + len(text) > 1 << 20:
-                        bad |= {first + r[0] for r in find_leaks(texts[first:i], index)}
-                        first, size = i, 0
-                    size += len(text)
-                yield batch.filter(pa.array([i not in bad for i in range(len(texts))]))
-
-        docs = docs.mapInArrow(work, docs.schema)
+        docs = keep_rows(docs, clean)
     return docs
 
 

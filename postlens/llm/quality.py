@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from postlens.llm.common import LOWER, SPACE, joined, over_texts, table
+from postlens.llm.common import LOWER, SPACE, joined, keep_rows, over_texts, table
 
 #: Labelled rows that the model holds at most; the rows with the smallest hash of their doc_id are taken.
 SAMPLE = 4000
@@ -174,6 +174,11 @@ def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:
     )
 
 
+def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that score THRESHOLD or more, with all their columns; no row is moved."""
+    return keep_rows(docs, lambda texts, model=fit(docs, labels): model.score(term_counts(texts)) >= THRESHOLD)
+
+
 def op5_quality(spark: SparkSession, folder: str) -> DataFrame:
     """Every document scored by the labelled documents."""
     return judge(table(spark, folder, "documents"), table(spark, folder, "labels"))

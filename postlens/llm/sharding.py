@@ -62,8 +62,9 @@ def row_at(shard: int, slot: int, rows: int, shards: int, seed: int = SEED) -> i
     return int(unpermute(np.array([slot * shards + shard]), rows, seed)[0])
 
 
-def numbered(frame: DataFrame, order: list[str], name: str = "row_number") -> DataFrame:
-    """Global row numbers 0, 1, 2, ... in the order of ``order``, without a window over all rows.
+def numbered(frame: DataFrame, order: list[str], name: str = "row_number") -> tuple[DataFrame, int]:
+    """The rows with global row numbers 0, 1, 2, ... in the order of ``order``, and how many there are, without a window
+    over all rows.
 
     The rows are dealt out by range and written once; only the number of rows of each range is summed up, so no task
     sees more than its range. A range can't split equal values of the whole ``order``: give it columns that differ. Rows
@@ -81,17 +82,17 @@ def numbered(frame: DataFrame, order: list[str], name: str = "row_number") -> Da
     counts = saved.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
     base = F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     bases = counts.select("_part", base.alias("_base"))  # one row for each range
-    return saved.join(F.broadcast(bases), "_part").select(*frame.columns, (F.col("_base") + F.col("_at")).alias(name))
+    rows = saved.join(F.broadcast(bases), "_part").select(*frame.columns, (F.col("_base") + F.col("_at")).alias(name))
+    return rows, saved.count()
 
 
 def sharded(frame: DataFrame, order: list[str], shards: int, seed: int = SEED) -> DataFrame:
-    """Add ``shard`` and ``slot`` to narrow rows: place p of the shuffled order is slot p div shards of shard p mod
+    """Add ``shard`` and ``slot`` to all rows: place p of the shuffled order is slot p div shards of shard p mod
     shards, so the row counts of two shards differ by one at most and the slots of a shard have no gap.
 
     Null keys come first. An empty frame stays empty. Equal rows get places of their own.
     """
-    rows = keep(numbered(frame, order, "_row"), "rows")
-    total = rows.count()
+    rows, total = numbered(frame, order, "_row")
 
     @F.pandas_udf("long")
     def place(numbers: pd.Series) -> pd.Series:
