@@ -355,13 +355,14 @@ def near_duplicates(docs: DataFrame, block: int = BLOCK, salts: int = 64) -> Dat
 
 def one_of_each(docs: DataFrame, block: int = BLOCK, salts: int = 64) -> DataFrame:
     """One row of each class of near-duplicates, with all its columns: the one with the smallest doc_id, and of several
-    texts with this doc_id one. Rows without words all stay, but for copies with the same doc_id."""
+    texts with this doc_id one. Rows without words all stay, but for copies with the same doc_id.
+    Names that start with ``_near_`` are reserved."""
     none = F.lit(-(1 << 63))
-    found = classes(docs, block, salts).withColumns({"_id": F.coalesce("id", none), "_least": F.coalesce("component_id", none)})
-    chosen = found.where("component is not null and _id = _least").groupBy("component", "_id").agg(F.min("mark").alias("_mark")).select("_id", "_mark")
-    chosen = keep(chosen.union(found.where("component is null").select("_id", F.col("mark").alias("_mark"))).distinct(), "ngram-chosen")
-    rows = docs.withColumns({"_id": F.coalesce("doc_id", none), "_mark": text_mark()})
-    return rows.join(chosen, ["_id", "_mark"], "left_semi").dropDuplicates(["_id", "_mark"]).select(*docs.columns)
+    found = classes(docs, block, salts).withColumns({"_near_id": F.coalesce("id", none), "_near_least": F.coalesce("component_id", none)})
+    chosen = found.where("component is not null and _near_id = _near_least").groupBy("component", "_near_id").agg(F.min("mark").alias("_near_mark")).select("_near_id", "_near_mark")
+    chosen = keep(chosen.union(found.where("component is null").select("_near_id", F.col("mark").alias("_near_mark"))).distinct(), "ngram-chosen")
+    rows = docs.withColumns({"_near_id": F.coalesce("doc_id", none), "_near_mark": text_mark()})
+    return rows.join(chosen, ["_near_id", "_near_mark"], "left_semi").dropDuplicates(["_near_id", "_near_mark"]).select(*docs.columns)
 
 
 def op4_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:

@@ -74,15 +74,15 @@ def numbered(frame: DataFrame, order: list[str], name: str = "row_number") -> tu
     local = F.monotonically_increasing_id()
     shift = F.lit(1 << 33)
     saved = keep(
-        ranged.withColumn("_id", local).select(
-            *frame.columns, F.floor(F.col("_id") / shift).cast("int").alias("_part"), (F.col("_id") % shift).alias("_at")
+        ranged.withColumn("_shard_id", local).select(
+            *frame.columns, F.floor(F.col("_shard_id") / shift).cast("int").alias("_shard_part"), (F.col("_shard_id") % shift).alias("_shard_at")
         ),
         "numbered",
     )
-    counts = saved.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
-    base = F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    bases = counts.select("_part", base.alias("_base"))  # one row for each range
-    rows = saved.join(F.broadcast(bases), "_part").select(*frame.columns, (F.col("_base") + F.col("_at")).alias(name))
+    counts = saved.groupBy("_shard_part").agg(F.count(F.lit(1)).alias("_shard_n"))
+    base = F.coalesce(F.sum("_shard_n").over(Window.orderBy("_shard_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    bases = counts.select("_shard_part", base.alias("_shard_base"))  # one row for each range
+    rows = saved.join(F.broadcast(bases), "_shard_part").select(*frame.columns, (F.col("_shard_base") + F.col("_shard_at")).alias(name))
     return rows, saved.count()
 
 
@@ -90,17 +90,19 @@ def sharded(frame: DataFrame, order: list[str], shards: int, seed: int = SEED) -
     """Add ``shard`` and ``slot`` to all rows: place p of the shuffled order is slot p div shards of shard p mod
     shards, so the row counts of two shards differ by one at most and the slots of a shard have no gap.
 
-    Null keys come first. An empty frame stays empty. Equal rows get places of their own.
+    Null keys come first. An empty frame stays empty. Equal rows get places of their own. Columns ``shard`` and ``slot``
+    that ``frame`` already has are replaced; names that start with ``_shard_`` are reserved.
     """
-    rows, total = numbered(frame, order, "_row")
+    frame = frame.select(*[c for c in frame.columns if c.lower() not in ("shard", "slot") or c in order])
+    rows, total = numbered(frame, order, "_shard_row")
 
     @F.pandas_udf("long")
     def place(numbers: pd.Series) -> pd.Series:
         return pd.Series(permute(numbers.to_numpy(), total, seed))
 
-    placed = rows.withColumn("_place", place("_row"))
+    placed = rows.withColumn("_shard_place", place("_shard_row"))
     return placed.select(
-        *frame.columns, (F.col("_place") % shards).cast("int").alias("shard"), F.floor(F.col("_place") / shards).cast("long").alias("slot")
+        *frame.columns, (F.col("_shard_place") % shards).cast("int").alias("shard"), F.floor(F.col("_shard_place") / shards).cast("long").alias("slot")
     )
 
 
