@@ -7,7 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed value: layout of a created_at string after its weekday, as in "Mon Feb 17 14:14:44 +0000 2014".
+# Fixed value: layout of a created_at string after its weekday, as in "Sat Mar 09 05:06:07 +0000 2019".
 CREATED_AT = "MMM d HH:mm:ss Z yyyy"
 
 
@@ -39,3 +39,16 @@ def true_flags(names: Iterable[str]) -> Column:
 def flag(value: Column) -> Column:
     """A 0/1 or boolean column as a boolean; null is false."""
     return F.coalesce(value.cast("boolean"), F.lit(False))
+
+
+# Words that people write for a flag.
+TRUE_WORDS = ("true", "t", "yes", "y")
+FALSE_WORDS = ("false", "f", "no", "n")
+
+
+def flag_number(value: Column) -> Column:
+    """A flag as a whole number, from ``1``, ``1.0``, ``True``, ``yes`` and the like; null where it can't be read."""
+    word = F.lower(F.trim(value))
+    number = word.try_cast("double")
+    whole = F.when(~F.isnan(number) & (F.abs(number) < 1e9) & (number == F.floor(number)), number.cast("int"))
+    return F.when(word.isin(*TRUE_WORDS), 1).when(word.isin(*FALSE_WORDS), 0).otherwise(whole)

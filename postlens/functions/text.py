@@ -72,7 +72,9 @@ def rule_label(normalized: Column, rules: LabelRules, whole_word: bool = False)
 
 def mask_keywords(text: Column, keywords: Iterable[str], mask: str = " ") -> Column:
     """Remove the labelling keywords from a text, so that a classifier cannot relearn the rules from them."""
-    parts = [re.escape(k).replace(r"\ ", COLLAPSE.removeprefix("(?U)")) for k in sorted(set(keywords), key=len, reverse=True)]
+    if not (keywords := set(keywords)):
+        return text
+    parts = [re.escape(k).replace(r"\ ", COLLAPSE.removeprefix("(?U)")) for k in sorted(keywords, key=lambda k: (-len(k), k))]
     return F.regexp_replace(text, "(?iU)" + "|".join(parts), mask)
 
 

@@ -3,11 +3,10 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from math import ceil
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import IndexToString, StringIndexerModel
+from pyspark.ml.feature import IndexToString, SQLTransformer, StringIndexerModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,7 +15,7 @@ from postlens.operators.features import gram_features, hashed_stages
 from postlens.operators.labels import trainable
 
 PREDICTED = "ml_predicted_label"
-ROWS_PER_TASK = 2_000
+GIVEN_TEXT = "_given_text"
 # Columns the stages add that no caller needs.
 INNER_COLUMNS = ("words", "pairs", "grams", "raw_features", "weighted_features", "features", "rawPrediction", "probability", "prediction")
 
@@ -58,10 +57,7 @@ def train(
     known = sorted((row for row in by_label if row["train_rows"]), key=lambda row: (-row["train_rows"], row[label_col]))
     names = [row[label_col] for row in known]
     indexer = StringIndexerModel.from_labels(names, inputCol=label_col, outputCol="label", handleInvalid="error")
-    # Each iteration is a job whose tasks all send back a full gradient: few rows are not worth many tasks. On a large
-    # input this number is above that of the partitions and changes nothing.
-    tasks = ceil(max(train_rows, 1) / ROWS_PER_TASK)
-    fit_rows = labeled.filter(F.col(split_col) == "train").coalesce(tasks)
+    fit_rows = labeled.filter(F.col(split_col) == "train")
     indexed = indexer.transform(fit_rows)
     if features == "hashed":
         learner = LogisticRegression(maxIter=max_iter or 50, regParam=0.01)
@@ -74,7 +70,10 @@ def train(
     else:
         raise ValueError(f"unknown features: {features}")
     decoder = IndexToString(inputCol="prediction", outputCol=PREDICTED, labels=names)
-    model = PipelineModel([*stages, decoder])
+    # A null text counts as empty when the model is applied; the marker is gone again before the text is.
+    filler = SQLTransformer(statement=f"SELECT * EXCEPT ({text_col}), {text_col} AS {GIVEN_TEXT}, coalesce({text_col}, '') AS {text_col} FROM __THIS__")
+    restore = SQLTransformer(statement=f"SELECT * EXCEPT ({text_col}, {GIVEN_TEXT}), {GIVEN_TEXT} AS {text_col} FROM __THIS__")
+    model = PipelineModel([filler, *stages, decoder, restore])
     tested = apply_model(model, labeled.filter(F.col(split_col) == "test"))
     scores = classification_metrics(tested, label_col).first()
     metrics = {
@@ -88,7 +87,8 @@ def train(
 
 def apply_model(model: PipelineModel, posts: DataFrame) -> DataFrame:
     """All posts with their predicted label."""
-    return model.transform(posts).drop(*[c for c in INNER_COLUMNS if c not in posts.columns])
+    added = model.transform(posts).drop(*[c for c in INNER_COLUMNS if c not in posts.columns])
+    return added.select(*posts.columns, *[c for c in added.columns if c not in posts.columns])
 
 
 def metrics_frame(posts: DataFrame, trained: TrainedModel, **extra: str) -> DataFrame:

@@ -23,8 +23,6 @@ from postlens.functions.text import GRAM_TOKEN, bigrams, gram_tokens, space_word
 # Sizes of the hashed and of the n-gram feature space.
 HASHED_SIZE = 65_536
 GRAM_SIZE = 4_096
-# Words whose frequencies are broadcast: a few megabytes.
-COMMON_TERMS = 100_000
 
 
 def hashed_stages(text_col: str = "text", features_col: str = "features", size: int = HASHED_SIZE) -> list:
@@ -43,19 +41,22 @@ def term_counts(posts: DataFrame, id_col: str = "id", text_col: str = "text") ->
     return terms.groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
-def tfidf_terms(posts: DataFrame, id_col: str = "id", text_col: str = "text", common: int = COMMON_TERMS) -> DataFrame:
+def term_frequency(posts: DataFrame, text_col: str = "text") -> DataFrame:
+    """Posts that hold each word. Words are counted within each task before the shuffle."""
+    words = posts.select(F.array_distinct(space_words(F.col(text_col))).alias("_words"))
+    terms = words.select(F.explode_outer("_words").alias("term")).filter(F.col("term").isNotNull())
+    return terms.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+
+
+def tfidf_terms(posts: DataFrame, id_col: str = "id", text_col: str = "text") -> DataFrame:
     """Weight tf * ln((n + 1) / (df + 1)) of each word in each post.
 
-    Counts meet frequencies by word. The most frequent words make up most of the counts and any of them can be in a
-    third of all posts, so their frequencies, ``common`` rows at most, are broadcast and their counts stay where they
-    are. Each of the other words is in at most one ``common``-th of all counts, so they are joined by a shuffle.
+    Counts meet frequencies by word in one join. A word that is in a third of all posts makes a skewed partition on the
+    side of the counts only, which adaptive execution splits.
     """
     counts = term_counts(posts, id_col, text_col)
-    frequency = counts.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    top = F.broadcast(frequency.orderBy(F.desc("df"), "term").limit(common))
-    rest = counts.join(top.select("term"), "term", "left_anti").join(frequency, "term")
     size = posts.agg(F.count(F.lit(1)).alias("_posts"))
-    joined = counts.join(top, "term").unionByName(rest).withColumn("_posts", size.scalar())
+    joined = counts.join(term_frequency(posts, text_col), "term").withColumn("_posts", size.scalar())
     weight = F.col("tf") * F.log((F.col("_posts") + 1) / (F.col("df") + 1))
     return joined.select(id_col, "term", "tf", "df", F.round(weight, 6).alias("tfidf"))
 

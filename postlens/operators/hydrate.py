@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from postlens.functions.records import flag, true_flags
@@ -12,14 +12,16 @@ from postlens.functions.text import trim_whitespace
 from postlens.params import BIAS_FLAGS, DELETED_AUTHOR, HUMANITARIAN_FLAGS
 
 
-def last_by_id(frame: DataFrame, order_col: str, id_col: str = "id") -> DataFrame:
-    """One row per id: the one with the highest order value.
+def last_by_id(frame: DataFrame, order_col: str | None = None, id_col: str = "id") -> DataFrame:
+    """One row per id that is not null: the one with the highest order value.
 
-    Copies of one id are reduced before the shuffle, so an id that holds a large share of the rows stays cheap.
+    A null order value comes before all others, and equal ones are decided by the other columns, so the result does not
+    depend on how the rows are stored. Each task keeps one row per id before the shuffle.
     """
-    others = [c for c in frame.columns if c != id_col]
-    last = F.max_by(F.struct(*others), order_col).alias("_last")
-    return frame.filter(F.col(id_col).isNotNull()).groupBy(id_col).agg(last).select(id_col, "_last.*")
+    others = sorted(c for c in frame.columns if c not in (id_col, order_col))
+    order = [*([F.desc_nulls_last(order_col)] if order_col else []), *[F.desc_nulls_last(c) for c in others]]
+    ranked = frame.filter(F.col(id_col).isNotNull()).withColumn("_rank", F.row_number().over(Window.partitionBy(id_col).orderBy(*order)))
+    return ranked.filter("_rank = 1").drop("_rank")
 
 
 def require_unique(frame: DataFrame, id_col: str = "id") -> DataFrame:
@@ -110,11 +112,11 @@ def hydration_stats(
     """One row of counts: annotations, hydrated posts (those of earlier runs included), and posts missing or empty
     among the ones this run tried.
 
-    Only ids and one boolean per submission are shuffled.
+    Only ids and one boolean per submission are shuffled. Annotations are counted, however often a submission repeats
+    an id; such an id is usable if one of its submissions is.
     """
-    usable = submissions.select(
-        id_col, (F.length(hydrated_text(F.col("title"), F.col("selftext"))) > 0).alias("_usable")
-    )
+    has_text = (F.length(hydrated_text(F.col("title"), F.col("selftext"))) > 0).alias("_usable")
+    usable = submissions.select(id_col, has_text).groupBy(id_col).agg(F.max("_usable").alias("_usable"))
     wanted = annotations.select(id_col, F.lit(True).alias("_annotated"))
     marked = wanted.join(usable, id_col, "left")
     if saved is None:

@@ -2,20 +2,22 @@
 
 Tokens are exploded, joined with the lexicon and added up per post. Rows without a lexicon hit leave at the join, and
 all rows of a post are in one input partition, so the partial aggregation leaves one short row per post for the
-shuffle. The scores are joined to the posts by id, which has to be unique and not null.
+shuffle. The scores are joined to the posts by id and a digest of the text, so ids may repeat and may be null: rows with
+the same id and text are added up together and divided by their number.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 from string import punctuation
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from postlens.functions.text import NOT_SPACE, affect_tokens
-from postlens.operators.lexicon import BROADCAST_ROWS, Lexicon
-from postlens.params import NEGATIVE_UPTO, POSITIVE_FROM, SENTIMENT_RULES, SentimentRules
+from postlens.operators.emotion import affect_aggregates, affect_map, found_affects
+from postlens.operators.lexicon import BROADCAST_ROWS, COPY, Lexicon, affect_flags, join_scores, one_valence, text_key, with_copy
+from postlens.params import AFFECTS, NEGATIVE_UPTO, POSITIVE_FROM, SENTIMENT_RULES, SentimentRules
 
 SCORES = ("sentiment_compound", "sentiment_pos", "sentiment_neu", "sentiment_neg")
 
@@ -32,107 +34,174 @@ def sentiment_label(score: Column, positive_from: float = POSITIVE_FROM, negativ
 
 
 def plain_scores(posts: DataFrame, lexicon: DataFrame, id_col: str = "id", text_col: str = "text", max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Scores of the posts with a lexicon hit: the sum of valences, and the shares of the tokens by sign."""
-    words = posts.select(id_col, affect_tokens(F.col(text_col)).alias("_tokens"))
-    rows = words.withColumn("_n", F.size("_tokens")).select(id_col, "_n", F.explode_outer("_tokens").alias("_token"))
-    hits = Lexicon(lexicon, max_rows).join(rows, "_token", id_col)
-    sums = hits.groupBy(id_col).agg(
-        F.sum("valence").alias("_total"),
-        F.count_if(F.col("valence") > 0).alias("_pos"),
-        F.count_if(F.col("valence") < 0).alias("_neg"),
+    """Scores of the ids and texts with a lexicon hit: the sum of valences, and the shares of the tokens by sign."""
+    words = posts.select(id_col, text_key(F.col(text_col)).alias("_text_key"), affect_tokens(F.col(text_col)).alias("_tokens"))
+    sized = words.select(id_col, "_text_key", F.size("_tokens").alias("_n"), F.array_append("_tokens", F.lit(COPY)).alias("_tokens"))
+    rows = sized.select(id_col, "_text_key", "_n", F.explode_outer("_tokens").alias("_token"))
+    hits = Lexicon(with_copy(one_valence(lexicon)), max_rows).join(rows, "_token", [id_col, "_text_key"])
+    copies = F.count_if(F.col("_token") == COPY)
+    sums = hits.groupBy(id_col, "_text_key").agg(
+        (F.sum("valence") / copies).alias("_total"),
+        (F.count_if(F.col("valence") > 0) / copies).alias("_pos"),
+        (F.count_if(F.col("valence") < 0) / copies).alias("_neg"),
         F.max("_n").alias("_n"),
     )
-    return sums.select(
+    return sums.where("_total IS NOT NULL").select(
         id_col,
-        compound(F.col("_total")).alias("sentiment_compound"),
+        "_text_key",
+        compound(F.round("_total", 9)).alias("sentiment_compound"),
         F.round(F.col("_pos") / F.col("_n"), 4).alias("sentiment_pos"),
         F.round((F.col("_n") - F.col("_pos") - F.col("_neg")) / F.col("_n"), 4).alias("sentiment_neu"),
         F.round(F.col("_neg") / F.col("_n"), 4).alias("sentiment_neg"),
     )
 
 
-def ruled_scores(
+#: Before a token of the affect lexicon, so that words and affect tokens can be looked up at once. No word holds it.
+AFFECT_MARK = "\t"
+
+
+def rule_sums(
     posts: DataFrame,
     lexicon: DataFrame,
-    id_col: str = "id",
-    text_col: str = "text",
-    rules: SentimentRules = SENTIMENT_RULES,
-    max_rows: int = BROADCAST_ROWS,
+    id_col: str,
+    text_col: str,
+    rules: SentimentRules,
+    max_rows: int,
+    affect_lexicon: DataFrame | None = None,
+    affects: Sequence[str] = (),
 ) -> DataFrame:
-    """Scores of the posts with a lexicon hit under the published context rules.
+    """Sums over the hits of each id and text under the published context rules, and with an affect lexicon also the
+    counts of its tokens, from one pass over the text.
 
     Each token is exploded together with the three words before it and the two after it, so the rules need neither a
     window nor a shuffle by position, and no row carries more than six words.
     """
-    lookup = Lexicon(lexicon.withColumn("valence", F.col("valence").cast("double")), max_rows)
-    words = posts.select(id_col, F.col(text_col).alias("_text"), scored_words(F.col(text_col)).alias("_words"))
+    table = one_valence(lexicon)
+    if affect_lexicon is not None:
+        marked = affect_flags(affect_lexicon, affects).withColumn("token", F.concat(F.lit(AFFECT_MARK), "token"))
+        table = table.unionByName(marked, allowMissingColumns=True)
+    lookup = Lexicon(with_copy(table), max_rows)
+    words = posts.select(
+        id_col,
+        text_key(F.col(text_col)).alias("_text_key"),
+        F.coalesce(F.col(text_col), F.lit("")).alias("_text"),
+        scored_words(F.col(text_col)).alias("_words"),
+    )
     # What belongs to the whole post is computed before the explode: beside it, it would be computed per token. The
     # outer explode keeps Spark from inferring a filter on the size of the array, which would build the array twice.
+    added = F.array(F.lit(COPY))
+    if affect_lexicon is not None:
+        added = F.concat(F.transform(affect_tokens(F.col("_text")), lambda t: F.concat(F.lit(AFFECT_MARK), t)), added)
     prepared = words.select(
         id_col,
+        "_text_key",
         F.size("_words").alias("_n"),
         caps_differ(F.col("_words")).alias("_caps"),
         F.when(F.lower("_text").contains(rules.contrast), first_place(F.col("_words"), rules.contrast)).alias("_turn"),
         emphasis(F.col("_text"), rules).alias("_emphasis"),
+        added.alias("_added"),
         *neighbour_arrays(F.col("_words")),
     )
-    whole = [id_col, "_n", "_caps", "_turn", "_emphasis"]
-    placed = prepared.select(*whole, F.arrays_zip("b3", "b2", "b1", "w0", "a1", "a2").alias("_places"))
+    whole = [id_col, "_text_key", "_n", "_caps", "_turn", "_emphasis"]
+    none = F.lit(None).cast("string")
+    alone = F.transform("_added", lambda t: F.struct(*[(t if n == "w0" else none).alias(n) for n in ("b3", "b2", "b1", "w0", "a1", "a2")]))
+    placed = prepared.select(*whole, F.concat(F.arrays_zip("b3", "b2", "b1", "w0", "a1", "a2"), alone).alias("_places"))
     rows = placed.select(*whole, F.posexplode_outer("_places").alias("_i", "_near"))
     tokens = rows.withColumn("_w0", F.lower("_near.w0")).filter(
         f"_w0 IS NOT NULL AND _w0 NOT IN {listed([*rules.boosters_up, *rules.boosters_down])}"
     )
-    hits = lookup.join(tokens, "_w0", id_col).selectExpr(
+    flags = [f"_f{i}" for i in range(len(affects))] if affect_lexicon is not None else []
+    hits = lookup.join(tokens, "_w0", [id_col, "_text_key"]).selectExpr(
         f"`{id_col}`",
-        *["_n", "_caps", "_turn", "_emphasis", "_i", "_w0", "valence AS _valence"],
+        *["_text_key", "_n", "_caps", "_turn", "_emphasis", "_i", "_w0", "valence AS _valence", *flags],
         *[f"lower(_near.{name}) AS _{name}" for name in ("b1", "b2", "b3", "a1", "a2")],
         # As an array function this also ends the generated loop over all tokens here: with the rules in it, the loop
         # would be too long for the JVM to compile.
         "transform(array(_near.w0, _near.b1, _near.b2, _near.b3), w -> w = upper(w) AND w <> lower(w)) AS _ups",
     )
     for name in ("_b1", "_b2", "_b3", "_a1"):
-        hits = lookup.join(hits, name, id_col, "left", prefix=f"{name}_")
+        hits = lookup.join(hits, name, [id_col, "_text_key"], "left", prefix=f"{name}_", columns=["valence"])
     scored = apply_rules(hits, rules)
-    sums = scored.groupBy(id_col).agg(
+    return scored.groupBy(id_col, "_text_key").agg(
         F.sum("_score").alias("_total"),
-        F.sum(F.when(F.col("_score") > 0, F.col("_score") + 1.0).otherwise(0.0)).alias("_pos"),
-        F.sum(F.when(F.col("_score") < 0, 1.0 - F.col("_score")).otherwise(0.0)).alias("_neg"),
+        F.sum(F.when(F.col("_score") > 0, F.col("_score") + 1.0).when(F.col("_score").isNotNull(), 0.0)).alias("_pos"),
+        F.sum(F.when(F.col("_score") < 0, 1.0 - F.col("_score")).when(F.col("_score").isNotNull(), 0.0)).alias("_neg"),
         F.count_if(F.col("_score") != 0).alias("_signed"),
         F.max("_n").alias("_n"),
         F.max("_emphasis").alias("_emphasis"),
+        *affect_aggregates(affects if flags else (), "_w0", "_i"),
     )
+
+
+def scores_of_sums(sums: DataFrame, id_col: str, rules: SentimentRules, *more: str) -> DataFrame:
+    """The scores from the sums; null where an id and text has no hit."""
     # Rounded, so that the signs do not depend on the order in which the scores were added up.
     e = F.col("_emphasis")
-    total, pos, neg = (F.round(name, 9) for name in ("_total", "_pos", "_neg"))
+    total, pos, neg = (F.round(F.col(name) / F.col("_copies"), 9) for name in ("_total", "_pos", "_neg"))
     parts = sums.select(
         id_col,
+        "_text_key",
         F.when(total > 0, total + e).when(total < 0, total - e).otherwise(total).alias("_total"),
         F.when(pos > neg, pos + e).otherwise(pos).alias("_pos"),
         F.when(pos < neg, neg + e).otherwise(neg).alias("_neg"),
-        (F.col("_n") - F.col("_signed")).alias("_neu"),
+        F.expr("_n - _signed div _copies").alias("_neu"),
+        *more,
     )
     whole = F.col("_pos") + F.col("_neg") + F.col("_neu")
     return parts.select(
         id_col,
-        compound(F.col("_total"), rules.alpha).alias("sentiment_compound"),
+        "_text_key",
+        F.when(F.col("_total").isNotNull(), compound(F.col("_total"), rules.alpha)).alias("sentiment_compound"),
         F.round(F.col("_pos") / whole, 3).alias("sentiment_pos"),
         F.round(F.col("_neu") / whole, 3).alias("sentiment_neu"),
         F.round(F.col("_neg") / whole, 3).alias("sentiment_neg"),
+        *more,
     )
 
 
-def add_scores(posts: DataFrame, scores: DataFrame, id_col: str = "id") -> DataFrame:
-    """Posts with their scores and label; a post without scores is neutral.
+def ruled_scores(
+    posts: DataFrame,
+    lexicon: DataFrame,
+    id_col: str = "id",
+    text_col: str = "text",
+    rules: SentimentRules = SENTIMENT_RULES,
+    max_rows: int = BROADCAST_ROWS,
+) -> DataFrame:
+    """Scores of the ids and texts with a lexicon hit under the published context rules."""
+    sums = rule_sums(posts, lexicon, id_col, text_col, rules, max_rows)
+    return scores_of_sums(sums.where("_total IS NOT NULL"), id_col, rules)
 
-    The score rows are short, so they are the hashed side: the posts are not sorted for this join.
-    """
-    joined = posts.join(scores.hint("shuffle_hash"), id_col, "left")
+
+def sentiment_and_emotion(
+    posts: DataFrame,
+    lexicon: DataFrame,
+    affect_lexicon: DataFrame,
+    id_col: str = "id",
+    text_col: str = "text",
+    rules: SentimentRules = SENTIMENT_RULES,
+    affects: Sequence[str] = AFFECTS,
+    ties: str = "first_seen",
+    max_rows: int = BROADCAST_ROWS,
+) -> DataFrame:
+    """Ruled scores and affects of every id and text, from one pass over the text."""
+    sums = rule_sums(posts, lexicon, id_col, text_col, rules, max_rows, affect_lexicon, affects)
+    scores = scores_of_sums(sums.withColumn("_found", found_affects(affects, ties)), id_col, rules, "_found", "_copies")
+    return scores.withColumns({"top_emotion": F.get("_found", F.lit(0))["affect"], "emotion_scores": affect_map()}).drop("_found", "_copies")
+
+
+def fill_scores(joined: DataFrame) -> DataFrame:
+    """A post without scores is neutral."""
     filled = joined.withColumns({c: F.coalesce(F.col(c), F.lit(1.0 if c == "sentiment_neu" else 0.0)) for c in SCORES})
     return filled.withColumn("sentiment_label", sentiment_label(F.col("sentiment_compound")))
 
 
+def add_scores(posts: DataFrame, scores: DataFrame, id_col: str = "id", text_col: str = "text") -> DataFrame:
+    """Posts with their scores and label; a post without scores is neutral."""
+    return fill_scores(join_scores(posts, scores, id_col, text_col))
+
+
 def add_plain_sentiment(posts: DataFrame, lexicon: DataFrame, id_col: str = "id", text_col: str = "text") -> DataFrame:
-    return add_scores(posts, plain_scores(posts, lexicon, id_col, text_col), id_col)
+    return add_scores(posts, plain_scores(posts, lexicon, id_col, text_col), id_col, text_col)
 
 
 def add_sentiment(
@@ -142,7 +211,7 @@ def add_sentiment(
     text_col: str = "text",
     rules: SentimentRules = SENTIMENT_RULES,
 ) -> DataFrame:
-    return add_scores(posts, ruled_scores(posts, lexicon, id_col, text_col, rules), id_col)
+    return add_scores(posts, ruled_scores(posts, lexicon, id_col, text_col, rules), id_col, text_col)
 
 
 # --- words and their context ---------------------------------------------------------------------------------------
@@ -234,7 +303,8 @@ def literal(word: str) -> str:
 
 
 def listed(words: Iterable[str]) -> str:
-    return "(" + ", ".join(literal(word) for word in words) + ")"
+    """A SQL list; an empty one holds a line break, which no word is."""
+    return "(" + ", ".join(literal(word) for word in list(words) or ["\n"]) + ")"
 
 
 def is_word(name: str, *words: str) -> str:

@@ -28,38 +28,38 @@ def add_split(posts: DataFrame, id_col: str = "id", seed: int = SEED, percent: i
 def stratum_cuts(posts: DataFrame, label_col: str, id_col: str, seed: int = SEED, test_share: float = 0.2) -> DataFrame:
     """For each label the (hash, id) of its last test row: that of rank floor(share * rows) in hash order.
 
-    A histogram of the leading hash digits finds the bucket that holds this rank, and only the rows of that bucket,
-    one in 65,536 of the label, are ranked. So a label that holds most of the rows is never sorted in one task.
+    One pass over the posts collects each label's hashes in buckets by their leading digits. The sizes of the buckets
+    tell which one holds the rank, and only this one, one in 65,536 of the label, is sorted. So a label that holds most
+    of the rows is never in one task.
     """
     hashed = posts.select(F.col(label_col).alias("_label"), split_hash(id_col, seed).alias("_hash"), F.col(id_col).alias("_id"))
-    hashed = hashed.withColumn("_bucket", F.substring("_hash", 1, BUCKET_DIGITS))
-    histogram = hashed.groupBy("_label", "_bucket").agg(F.count(F.lit(1)).alias("_n"))
+    buckets = hashed.groupBy("_label", F.substring("_hash", 1, BUCKET_DIGITS).alias("_bucket")).agg(
+        F.collect_list(F.struct("_hash", "_id")).alias("_rows")
+    )
     by_label = Window.partitionBy("_label")
     running = by_label.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    placed = histogram.select(
+    n = F.size("_rows").cast("bigint")
+    placed = buckets.select(
         "_label",
-        "_bucket",
-        (F.sum("_n").over(running) - F.col("_n")).alias("_before"),
-        F.sum("_n").over(running).alias("_upto"),
-        F.floor(F.sum("_n").over(by_label) * F.lit(test_share)).alias("_wanted"),
+        "_rows",
+        (F.sum(n).over(running) - n).alias("_before"),
+        F.sum(n).over(running).alias("_upto"),
+        F.floor(F.sum(n).over(by_label) * F.lit(test_share)).alias("_wanted"),
     )
     cut_buckets = placed.filter((F.col("_before") < F.col("_wanted")) & (F.col("_wanted") <= F.col("_upto")))
-    # One row per label.
-    inside = hashed.join(F.broadcast(cut_buckets), ["_label", "_bucket"])
-    ranked = inside.withColumn("_rank", F.row_number().over(Window.partitionBy("_label").orderBy("_hash", "_id")))
-    last = ranked.filter(F.col("_rank") == F.col("_wanted") - F.col("_before"))
-    return last.select("_label", F.col("_hash").alias("_cut_hash"), F.col("_id").alias("_cut_id"))
+    last = cut_buckets.select("_label", F.element_at(F.array_sort("_rows"), (F.col("_wanted") - F.col("_before")).cast("int")).alias("_cut"))
+    return last.select("_label", F.col("_cut._hash").alias("_cut_hash"), F.col("_cut._id").alias("_cut_id"))
 
 
 def add_stratified_split(
     posts: DataFrame, label_col: str = "weak_label", id_col: str = "id", seed: int = SEED, test_share: float = 0.2
 ) -> DataFrame:
-    """Mark the same share of every label as test rows. The posts themselves are not shuffled.
+    """Mark the same share of every label as test rows.
 
-    The cuts are one row per label, and labels come from a short rule list, so they are broadcast.
+    The cuts are one row per label; Spark broadcasts them while they are small, so the posts are then not shuffled.
     """
     cuts = stratum_cuts(posts, label_col, id_col, seed, test_share)
-    joined = posts.join(F.broadcast(cuts), F.col(label_col) == F.col("_label"), "left")
+    joined = posts.join(cuts, F.col(label_col) == F.col("_label"), "left")
     upto = F.struct(split_hash(id_col, seed), F.col(id_col)) <= F.struct("_cut_hash", "_cut_id")
     marked = joined.withColumn("split", F.when(F.col("_cut_hash").isNotNull() & upto, "test").otherwise("train"))
     return marked.drop("_label", "_cut_hash", "_cut_id")

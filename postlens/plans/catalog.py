@@ -7,9 +7,13 @@ in the documents.
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import lru_cache, partial
+from functools import partial, reduce
 
 from pyspark.ml import Pipeline
+from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+from pyspark.ml.feature import StringIndexerModel
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -68,6 +72,7 @@ SENTIMENT = SentimentRules(
     least_lead=("the", "of"),
     not_a_booster=("it", "is"),
 )
+MASKED = ("license", "apache", "mente", "queque")
 AFFECT_WORDS = {
     "is": ("joy", "positive"),
     "that": ("fear",),
@@ -85,13 +90,13 @@ PARAMS = PostParams(keywords=KEYWORDS, rules=RULES, sentiment_rules=SENTIMENT)
 # --- tables in the roles of posts, statuses, annotations and submissions ---------------------------------------------
 
 
-def table(spark: SparkSession, sf: str, name: str, spread: bool = False) -> DataFrame:
-    return readers.read_table(spark, f"{sf}/{name}.parquet", spread)
+def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    return readers.read_table(spark, f"{sf}/{name}.parquet")
 
 
-def posts(spark: SparkSession, sf: str, spread: bool = True) -> DataFrame:
+def posts(spark: SparkSession, sf: str) -> DataFrame:
     """Documents as posts."""
-    return table(spark, sf, "documents", spread).select(
+    return table(spark, sf, "documents").select(
         F.col("doc_id").alias("id"),
         F.col("source").alias("author"),
         F.col("lang").alias("subreddit"),
@@ -110,7 +115,7 @@ def other_lines(value: Column) -> Column:
 
 def titled_posts(spark: SparkSession, sf: str) -> DataFrame:
     """Documents as posts with title and body in place of a text."""
-    return table(spark, sf, "documents", True).select(
+    return table(spark, sf, "documents").select(
         F.col("doc_id").cast("string").alias("id"),
         F.col("source").alias("author"),
         F.col("lang").alias("subreddit"),
@@ -122,7 +127,7 @@ def titled_posts(spark: SparkSession, sf: str) -> DataFrame:
 
 def typed_posts(spark: SparkSession, sf: str) -> DataFrame:
     flags = table(spark, sf, "labels").select(F.col("doc_id").alias("id"), (F.col("toxic") == 1).alias("is_self"))
-    return posts(spark, sf, False).join(flags, "id")
+    return posts(spark, sf).join(flags, "id", "left")
 
 
 def labeled(spark: SparkSession, sf: str) -> DataFrame:
@@ -174,7 +179,7 @@ def document_statuses(spark: SparkSession, sf: str) -> DataFrame:
         hits = F.array_distinct(F.regexp_extract_all("text", F.lit(pattern), F.lit(0)))
         return F.transform(hits, lambda t: F.struct(t.alias(field)))
 
-    return table(spark, sf, "documents", True).select(
+    return table(spark, sf, "documents").select(
         F.col("doc_id").alias("id"),
         "lang",
         F.struct(
@@ -240,11 +245,19 @@ def view_sql(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def json_posts(spark: SparkSession, sf: str) -> DataFrame:
+def titled_file(spark: SparkSession, sf: str) -> str:
+    """Posts with title and body and without a text, as JSON Lines."""
     path = scratch_path(spark, "posts")
     sinks.write_rows(titled_posts(spark, sf), path)
-    schema = "id STRING, author STRING, subreddit STRING, title STRING, selftext STRING, score BIGINT"
-    return readers.read_posts(spark, path, schema).select("id", "author", "subreddit", "score", "text")
+    return path
+
+
+def json_posts(spark: SparkSession, sf: str) -> DataFrame:
+    return readers.read_posts(spark, titled_file(spark, sf)).select("id", "author", "subreddit", "score", "text")
+
+
+def json_titled_strict(spark: SparkSession, sf: str) -> DataFrame:
+    return readers.read_posts_strict(spark, titled_file(spark, sf)).select("id", "author", "subreddit", "score", "text")
 
 
 def json_posts_strict(spark: SparkSession, sf: str) -> DataFrame:
@@ -253,6 +266,15 @@ def json_posts_strict(spark: SparkSession, sf: str) -> DataFrame:
     return readers.read_posts_strict(spark, path).select("id", "author", "subreddit", "score", "text")
 
 
+def json_optional_columns(spark: SparkSession, sf: str) -> DataFrame:
+    """The reports of a file whose posts have no community and no type, with their rows."""
+    given = ("id", "author", "title", "selftext", "score")
+    rows = readers.read_posts(spark, titled_file(spark, sf), fields=given)
+    reports = counts.descriptive_reports(rows, KEYWORDS)
+    parts = [f.agg(F.count(F.lit(1)).alias("report_rows")).select(F.lit(n).alias("report"), "report_rows") for n, f in reports.items()]
+    return reduce(DataFrame.union, parts)
+
+
 def status_json(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "statuses")
     sinks.write_rows(order_statuses(spark, sf), path)
@@ -268,13 +290,19 @@ def text_lines(spark: SparkSession, sf: str) -> DataFrame:
 
 def annotation_csv(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "annotations")
-    annotations(spark, sf).write.option("header", True).csv(path)
+    written = annotations(spark, sf).withColumns(
+        {
+            "Linguistic_Bias": F.when(F.col("Linguistic_Bias") == 1, "True").otherwise("no"),
+            "Casualty": F.col("Casualty").cast("double").cast("string"),
+        }
+    )
+    written.write.option("header", True).csv(path)
     return readers.read_annotations(spark, path).select("id", "Information_Integrity", "Linguistic_Bias", "Casualty", "Damage", "Advice")
 
 
 def report_csv(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "report")
-    sinks.write_report(counts.distribution(posts(spark, sf, False), ["author", "subreddit"]), path)
+    sinks.write_report(counts.distribution(posts(spark, sf), ["author", "subreddit"]), path)
     return spark.read.option("header", True).schema("author STRING, subreddit STRING, count BIGINT").csv(path)
 
 
@@ -400,15 +428,15 @@ def trainable_rows(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def top_authors(spark: SparkSession, sf: str) -> DataFrame:
-    return counts.top_groups(posts(spark, sf, False), "author", 10)
+    return counts.top_groups(posts(spark, sf), "author", 10)
 
 
 def community_counts(spark: SparkSession, sf: str) -> DataFrame:
-    return counts.top_groups(posts(spark, sf, False), "subreddit", 15)
+    return counts.top_groups(posts(spark, sf), "subreddit", 15)
 
 
 def top_scores_by_author(spark: SparkSession, sf: str) -> DataFrame:
-    return counts.top_scores(posts(spark, sf, False))
+    return counts.top_scores(posts(spark, sf))
 
 
 def keyword_counts(spark: SparkSession, sf: str) -> DataFrame:
@@ -434,7 +462,7 @@ def word_count(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def post_count(spark: SparkSession, sf: str) -> DataFrame:
-    return counts.row_count(posts(spark, sf, False))
+    return counts.row_count(posts(spark, sf))
 
 
 def from_statuses(operator: Callable[..., DataFrame], *args, english: bool = True) -> Query:
@@ -465,12 +493,33 @@ def weak_label_distribution(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def masked_labels(spark: SparkSession, sf: str) -> DataFrame:
-    """Labels that are left once the rule keywords are masked: all posts are "other"."""
-    words = [w for _, keywords in RULES.rules for w in keywords] + list(RULES.fallback)
-    masked = posts(spark, sf).withColumn("text", text.mask_keywords(F.col("text"), words, "*"))
+    """Labels that are left once the keywords of two rules are masked: those of the other rules."""
+    masked = posts(spark, sf).withColumn("text", text.mask_keywords(F.col("text"), MASKED, "*"))
     return counts.distribution(labels.add_weak_labels(masked, RULES), "weak_label")
 
 
+def turn_posts(spark: SparkSession, sf: str) -> DataFrame:
+    """Conversation turns as posts whose id is that of the conversation, so that ids repeat."""
+    return table(spark, sf, "conversations").select(F.col("conv_id").alias("id"), "turn", "text")
+
+
+def sentiment_repeated_ids(spark: SparkSession, sf: str) -> DataFrame:
+    scored = sentiment.add_plain_sentiment(turn_posts(spark, sf), valence_table(spark, VALENCES))
+    return scored.select("id", "turn", "sentiment_compound", "sentiment_pos", "sentiment_label")
+
+
+def emotion_repeated_ids(spark: SparkSession, sf: str) -> DataFrame:
+    scored = emotion.add_emotions(turn_posts(spark, sf), affect_table(spark, AFFECT_WORDS))
+    return scored.select("id", "turn", "top_emotion", F.to_json("emotion_scores").alias("emotion_scores"))
+
+
+def sentiment_large_lexicon(spark: SparkSession, sf: str) -> DataFrame:
+    """Scores by the way that lexicons above the broadcast bounds take."""
+    rows = posts(spark, sf)
+    scores = sentiment.plain_scores(rows, valence_table(spark, VALENCES), max_rows=3)
+    return sentiment.add_scores(rows, scores).select("id", *sentiment.SCORES)
+
+
 def plain(spark: SparkSession, sf: str) -> DataFrame:
     return sentiment.add_plain_sentiment(posts(spark, sf), valence_table(spark, VALENCES))
 
@@ -568,6 +617,20 @@ def hydrate_stats(spark: SparkSession, sf: str) -> DataFrame:
     return hydrate.hydration_stats(annotations(spark, sf), last, saved_pages(spark, sf))
 
 
+def hydrate_repeated(spark: SparkSession, sf: str) -> DataFrame:
+    """The whole job over submissions that repeat their ids: the last turn counts."""
+    out = scratch_path(spark, "hydrated")
+    given = turn_submissions(spark, sf)
+    fields = [f for f in spark.createDataFrame([], schemas.SUBMISSION).schema.fields if f.name not in given.columns]
+    bodies = given.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in fields])
+    hydration.run_hydration(annotations(spark, sf), bodies, out, "forum", "labels", order_col="turn")
+    return spark.read.schema("id STRING, text STRING").json(f"{out}/posts")
+
+
+def first_rows(spark: SparkSession, sf: str) -> DataFrame:
+    return hydrate.first_rows(annotations(spark, sf), 100).select("id")
+
+
 def hydrate_append(spark: SparkSession, sf: str) -> DataFrame:
     """Two runs of the whole job into one folder: the good annotations first, then all of them, resumed."""
     out = scratch_path(spark, "hydrated")
@@ -586,7 +649,7 @@ def label_index(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def split_hash(spark: SparkSession, sf: str) -> DataFrame:
-    return splits.add_split(posts(spark, sf, False)).select("id", "split")
+    return splits.add_split(posts(spark, sf)).select("id", "split")
 
 
 def split_stratified(spark: SparkSession, sf: str) -> DataFrame:
@@ -602,10 +665,14 @@ def ngram_vocab(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def ml_hashed_features(spark: SparkSession, sf: str) -> DataFrame:
-    """Number of posts per hashed term that occurs, from the fitted frequency stage."""
-    fitted = Pipeline(stages=features.hashed_stages()).fit(posts(spark, sf)).stages[-1]
-    found = [(i, int(n)) for i, n in enumerate(fitted.docFreq) if n]
-    return spark.createDataFrame(found, "feature BIGINT, post_count BIGINT")
+    """Posts, and the words that the hashed counts of all posts add up to."""
+    rows = posts(spark, sf)
+    stages = features.hashed_stages()
+    hashed = Pipeline(stages=stages[:2]).fit(rows).transform(rows)
+    summed = hashed.agg(F.count(F.lit(1)).alias("post_count"), Summarizer.sum(F.col("raw_features")).alias("total"))
+    return summed.select(
+        "post_count", F.aggregate(vector_to_array("total"), F.lit(0.0), lambda a, x: a + x).cast("bigint").alias("word_count")
+    )
 
 
 def guessed_language(spark: SparkSession, sf: str) -> DataFrame:
@@ -622,37 +689,72 @@ def classification_metrics(spark: SparkSession, sf: str) -> DataFrame:
     return evaluate.classification_metrics(guessed_language(spark, sf), "label", "prediction")
 
 
-@lru_cache(maxsize=8)
-def trained(spark: SparkSession, sf: str, kind: str, stratified: bool) -> tuple[classify.TrainedModel, DataFrame]:
-    """A model fitted once per session and table; several reports read it, as in the whole job."""
+def trained(spark: SparkSession, sf: str, kind: str = "hashed", stratified: bool = False) -> tuple[classify.TrainedModel, DataFrame]:
     rows = labeled(spark, sf).select("id", "text", "weak_label")
     split = splits.add_stratified_split(rows) if stratified else splits.add_split(rows)
     return classify.train(split, features=kind), split
 
 
+def training_labels(rows: DataFrame) -> DataFrame:
+    return rows.where("split = 'train' and weak_label <> 'other'").select(F.col("weak_label").alias(classify.PREDICTED)).distinct()
+
+
 def predictions(spark: SparkSession, sf: str, kind: str = "hashed", stratified: bool = False) -> DataFrame:
+    """The side of each post, and whether its predicted label is one of the training rows."""
     model, rows = trained(spark, sf, kind, stratified)
-    return classify.apply_model(model.model, rows).select("id", "weak_label", "split", classify.PREDICTED)
+    known = training_labels(rows).withColumn("is_known", F.lit(True))
+    predicted = classify.apply_model(model.model, rows).join(known, classify.PREDICTED, "left")
+    return predicted.select("id", "weak_label", "split", F.coalesce("is_known", F.lit(False)).alias("is_known"))
 
 
 def ml_distribution(spark: SparkSession, sf: str) -> DataFrame:
-    return counts.distribution(predictions(spark, sf), classify.PREDICTED)
+    """Posts in the distribution of predicted labels, and labels in it that no training row has."""
+    model, rows = trained(spark, sf)
+    found = counts.distribution(classify.apply_model(model.model, rows), classify.PREDICTED)
+    strange = found.join(training_labels(rows), classify.PREDICTED, "left_anti").agg(F.count(F.lit(1)).alias("unknown_labels"))
+    return found.agg(F.sum("count").alias("post_count")).join(strange)
 
 
 def ml_confusion(spark: SparkSession, sf: str) -> DataFrame:
-    return evaluate.confusion_summary(predictions(spark, sf))
+    """Posts of each weak label in the confusion summary."""
+    model, rows = trained(spark, sf)
+    found = evaluate.confusion_summary(classify.apply_model(model.model, rows))
+    return found.groupBy("weak_label").agg(F.sum("count").alias("count"))
 
 
 def ml_metrics(spark: SparkSession, sf: str) -> DataFrame:
-    model, rows = trained(spark, sf, "hashed", False)
-    return classify.metrics_frame(rows, model)
+    """Sizes of both sides, and whether accuracy and F1 are those of Spark's evaluator on the test rows."""
+    model, rows = trained(spark, sf)
+    tested = classify.apply_model(model.model, rows.where("split = 'test' and weak_label <> 'other' and text <> ''"))
+    known = model.model.stages[-2].getLabels()
+    indexed = StringIndexerModel.from_labels(known, inputCol="weak_label", outputCol="truth", handleInvalid="keep").transform(tested)
+    indexed = StringIndexerModel.from_labels(known, inputCol=classify.PREDICTED, outputCol="guess", handleInvalid="keep").transform(indexed)
+    measure = {m: MulticlassClassificationEvaluator(labelCol="truth", predictionCol="guess", metricName=m).evaluate(indexed) for m in ("f1", "accuracy")}
+    same = [F.lit(abs(measure[m] - model.metrics[m]) < 0.0001).alias(f"same_{m}") for m in ("f1", "accuracy")]
+    return classify.metrics_frame(rows, model).select("train_rows", "test_rows", *same)
 
 
 def ml_model_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
-    """Predictions of the model as saved and loaded again."""
-    model, rows = trained(spark, sf, "hashed", False)
+    """Posts, and those for which the model that was saved and loaded says something else."""
+    model, rows = trained(spark, sf)
     loaded = sinks.load_model(sinks.save_model(model.model, scratch_path(spark, "model")))
-    return classify.apply_model(loaded, rows).select("id", classify.PREDICTED)
+    now = classify.apply_model(model.model, rows).select("id", F.col(classify.PREDICTED).alias("now"))
+    later = classify.apply_model(loaded, rows).select("id", F.col(classify.PREDICTED).alias("later"))
+    return now.join(later, "id").agg(F.count(F.lit(1)).alias("post_count"), F.count_if(~F.col("now").eqNullSafe(F.col("later"))).alias("differing"))
+
+
+def metrics_json(spark: SparkSession, sf: str) -> DataFrame:
+    """The metrics of the language guess, written as a JSON document and read again."""
+    path = scratch_path(spark, "metrics")
+    sinks.write_metrics(classification_metrics(spark, sf), path)
+    return spark.read.schema("f1 DOUBLE, accuracy DOUBLE, rows BIGINT").json(path)
+
+
+def word_count_text(spark: SparkSession, sf: str) -> DataFrame:
+    """Word counts as text lines."""
+    path = scratch_path(spark, "words")
+    sinks.write_pairs(word_count(spark, sf), path, "word", "count")
+    return readers.read_lines(spark, path).groupBy("value").agg(F.count(F.lit(1)).alias("count"))
 
 
 # --- streams ---------------------------------------------------------------------------------------------------------
@@ -681,11 +783,38 @@ def stream_new_posts(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.schema("id BIGINT").json(f"{out}/posts")
 
 
+def stream_copies(spark: SparkSession, sf: str) -> DataFrame:
+    """The quoted and the line copy of a capture: the events they tell of."""
+    out = scratch_path(spark, "capture")
+    lines = stream_of(spark, sf, "events").select(F.to_json(F.struct("event_id", "event_type")).alias("value"))
+    capture.start_capture(lines, ["purchase"], out, f"{out}/_checkpoint", available_now=True).awaitTermination()
+    read = capture.read_copies(spark, out)
+    plain = F.when(F.col("copy") == capture.QUOTED, F.get_json_object(F.concat(F.lit('{"v":'), "value", F.lit("}")), "$.v")).otherwise(F.col("value"))
+    return read.select("copy", F.get_json_object(plain, "$.event_id").cast("bigint").alias("event_id"))
+
+
+def stream_new_posts_timed(spark: SparkSession, sf: str) -> DataFrame:
+    """Users of the event stream, each appended once, with state that a watermark bounds and the disk holds."""
+    before = spark.conf.get(STATE, None)
+    spark.conf.set(STATE, capture.DISK_STATE[STATE])
+    try:
+        out = scratch_path(spark, "new_users")
+        users = stream_of(spark, sf, "events").select(F.col("user_id").alias("id"), F.col("ts").cast("timestamp").alias("at"))
+        capture.start_new_posts(users, f"{out}/posts", f"{out}/_checkpoint", time_col="at", delay="3650 days", available_now=True).awaitTermination()
+    finally:
+        spark.conf.set(STATE, before) if before else spark.conf.unset(STATE)
+    return spark.read.schema("id BIGINT").json(f"{out}/posts")
+
+
+STATE = "spark.sql.streaming.stateStore.providerClass"
+
 QUERIES: dict[str, Query] = {
     # sources and sinks
     "view_sql": view_sql,
     "json_posts": json_posts,
     "json_posts_strict": json_posts_strict,
+    "json_titled_strict": json_titled_strict,
+    "json_optional_columns": json_optional_columns,
     "status_json": status_json,
     "text_lines": text_lines,
     "annotation_csv": annotation_csv,
@@ -733,6 +862,8 @@ QUERIES: dict[str, Query] = {
     "masked_labels": masked_labels,
     "sentiment_scores": sentiment_scores,
     "sentiment_labels": sentiment_labels,
+    "sentiment_repeated_ids": sentiment_repeated_ids,
+    "sentiment_large_lexicon": sentiment_large_lexicon,
     "sentiment_rules": sentiment_rules,
     "sentiment_distribution": sentiment_distribution,
     "most_positive": extreme(True),
@@ -742,6 +873,7 @@ QUERIES: dict[str, Query] = {
     "top_emotion": top_emotion,
     "top_emotion_listed": partial(top_emotion, ties="listed"),
     "emotion_json": emotion_json,
+    "emotion_repeated_ids": emotion_repeated_ids,
     "emotion_distribution": emotion_distribution,
     "enriched_posts": enriched_posts,
     "label_sentiment_summary": label_sentiment_summary,
@@ -752,6 +884,8 @@ QUERIES: dict[str, Query] = {
     "hydrate_resume": hydrate_resume,
     "hydrate_stats": hydrate_stats,
     "hydrate_append": hydrate_append,
+    "hydrate_append_repeated": hydrate_repeated,
+    "first_rows": first_rows,
     # features and classification
     "label_index": label_index,
     "split_hash": split_hash,
@@ -767,7 +901,11 @@ QUERIES: dict[str, Query] = {
     "ml_confusion": ml_confusion,
     "ml_metrics": ml_metrics,
     "ml_model_roundtrip": ml_model_roundtrip,
+    "metrics_json": metrics_json,
+    "word_count_text": word_count_text,
     # streams
     "stream_track": stream_track,
+    "stream_copies": stream_copies,
     "stream_new_posts": stream_new_posts,
+    "stream_new_posts_timed": stream_new_posts_timed,
 }

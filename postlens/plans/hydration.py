@@ -22,12 +22,12 @@ def run_hydration(
 ) -> dict:
     """Write the hydrated posts below ``out`` and return the counts.
 
-    ``order_col`` tells which of several submissions of one id is the last. With ``resume`` the ids already saved are
+    Of several submissions of one id the last by ``order_col`` counts, or without it the greatest by all columns. With ``resume`` the ids already saved are
     left out and new posts are appended; a first run finds nothing saved.
     """
     spark = annotations.sparkSession
     wanted = h.require_unique(h.first_rows(annotations, limit))
-    bodies = h.last_by_id(submissions, order_col) if order_col else submissions
+    bodies = h.last_by_id(submissions, order_col)
     saved = saved_ids(spark, out) if resume else None
     # The counts need the ids as they were before this run.
     stats = h.hydration_stats(wanted, bodies, saved).first().asDict()

@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 from postlens.params import AFFECTS
-from postlens.plans.catalog import AFFECT_WORDS, DEVICES, KEYWORDS, RAW_TERMS, RULES, SENTIMENT, VALENCES
+from postlens.plans.catalog import AFFECT_WORDS, DEVICES, KEYWORDS, MASKED, RAW_TERMS, RULES, SENTIMENT, VALENCES
 
 
 def quote(value: str) -> str:
@@ -224,6 +224,8 @@ LAST_TURNS = f"""last_turns AS (SELECT conv_id::VARCHAR AS id,
   {TRIMMED.format("CASE WHEN text = '' THEN role ELSE role || chr(10) || text END")} AS text
   FROM conversations c WHERE turn = (SELECT max(turn) FROM conversations d WHERE d.conv_id = c.conv_id))"""
 
+# An event as one line of JSON.
+RECORD = """('{"event_id":' || event_id || ',"event_type":"' || event_type || '","props":' || CAST(to_json(props) AS VARCHAR) || '}')"""
 LINES = "CASE WHEN event_type = 'error' THEN substr(props, 1, length(props) - 2) ELSE props END"
 DOC_TAGS = "list_distinct(regexp_extract_all(text, '[A-Za-z]{8,}'))"
 DOC_NAMES = "list_distinct(regexp_extract_all(text, '[A-Z][a-z]{4,}'))"
@@ -233,7 +235,40 @@ GUESSED = f"""{LABELED},
 guessed AS (SELECT subreddit AS label, CASE weak_label WHEN 'de_func' THEN 'de' WHEN 'es_suffix' THEN 'es' ELSE 'en' END AS prediction
   FROM labeled)"""
 
+TURNS = "posts AS (SELECT row_number() OVER () AS id, conv_id AS author, turn AS subreddit, text FROM conversations)"
+TURN_EMOTIONS = emotions().replace("doc_id AS id, regexp", "id, regexp").replace("doc_id AS id, coalesce", "posts.id AS id, coalesce").replace("FROM documents", "FROM posts").replace("ON doc_id = e.id", "ON posts.id = e.id")
+TITLED = f"""SELECT doc_id::VARCHAR AS id, source AS author, lang AS subreddit, n_chars AS score, {TRIMMED.format('text')} AS text
+        FROM documents"""
+WORDS = """SELECT word, count(*) AS n FROM (SELECT unnest(string_split(line, ' ')) AS word
+        FROM (SELECT unnest(string_split(text, chr(10))) AS line FROM documents)) GROUP BY word"""
+
 ORACLES: dict[str, str] = {
+    "json_titled_strict": TITLED,
+    "json_optional_columns": f"""SELECT 'top_authors' AS report, least(10, count(DISTINCT source)) AS report_rows FROM documents
+        UNION ALL SELECT 'top_scores_by_author', least(20, count(DISTINCT source)) FROM documents
+        UNION ALL SELECT 'keyword_counts', {len(KEYWORDS)} FROM (SELECT count(*) FROM documents)""",
+    "sentiment_repeated_ids": f"""WITH {PLAIN.replace(POSTS, TURNS)} SELECT author AS id, subreddit AS turn, sentiment_compound, sentiment_pos,
+        {labeled_as('sentiment_compound')} AS sentiment_label FROM plain""",
+    "sentiment_large_lexicon": f"WITH {PLAIN} SELECT id, sentiment_compound, sentiment_pos, sentiment_neu, sentiment_neg FROM plain",
+    "emotion_repeated_ids": f"""WITH {TURNS}, {TURN_EMOTIONS} SELECT author AS id, subreddit AS turn, top_emotion, emotion_scores
+        FROM emotions JOIN posts USING (id)""",
+    "hydrate_append_repeated": f"WITH {LAST_TURNS} SELECT id, text FROM last_turns WHERE id IN (SELECT doc_id::VARCHAR FROM labels) AND text <> ''",
+    "first_rows": "SELECT doc_id::VARCHAR AS id FROM labels ORDER BY doc_id::VARCHAR LIMIT 100",
+    "ml_hashed_features": f"""WITH {POSTS} SELECT count(*) AS post_count,
+        sum(len(regexp_split_to_array(regexp_replace(lower(text), '\\s+$', ''), '\\s')))::BIGINT AS word_count FROM posts""",
+    "ml_predictions": f"WITH {LABELED} SELECT id, weak_label, {SPLIT} AS split, true AS is_known FROM labeled",
+    "ml_ngram_model": f"""WITH {LABELED} SELECT id, weak_label, CASE WHEN row_number() OVER (PARTITION BY weak_label
+        ORDER BY md5('42:' || id), id) <= floor(count(*) OVER (PARTITION BY weak_label) * 0.2::DOUBLE) THEN 'test' ELSE 'train' END AS split,
+        true AS is_known FROM labeled""",
+    "ml_distribution": "SELECT count(*) AS post_count, 0::BIGINT AS unknown_labels FROM documents",
+    "ml_confusion": f"WITH {LABELED} SELECT weak_label, count(*) AS count FROM labeled GROUP BY weak_label",
+    "ml_metrics": f"""WITH {LABELED}, sides AS (SELECT {SPLIT} AS split FROM labeled WHERE weak_label <> 'other' AND text <> '')
+        SELECT count(*) FILTER (split = 'train') AS train_rows, count(*) FILTER (split = 'test') AS test_rows, true AS same_f1,
+        true AS same_accuracy FROM sides""",
+    "ml_model_roundtrip": "SELECT count(*) AS post_count, 0::BIGINT AS differing FROM documents",
+    "word_count_text": f"SELECT '(' || word || ',' || n || ')' AS value, count(*) AS count FROM ({WORDS}) GROUP BY 1",
+    "stream_copies": """SELECT copy, event_id FROM events, (VALUES ('quoted'), ('lines')) c(copy) WHERE event_type = 'purchase'""",
+    "stream_new_posts_timed": "SELECT DISTINCT user_id AS id FROM events",
     "view_sql": f"""WITH {STATUSES} SELECT time_zone, user_lang, count(*) AS row_count, max(followers_count) AS most_followers
         FROM english GROUP BY time_zone, user_lang""",
     "json_posts": f"""SELECT doc_id::VARCHAR AS id, source AS author, lang AS subreddit, n_chars AS score, {TRIMMED.format('text')} AS text
@@ -278,8 +313,8 @@ ORACLES: dict[str, str] = {
         ORDER BY max_score DESC, author LIMIT 20""",
     "keyword_counts": counted(KEYWORDS, "documents", "lower(text)"),
     "keyword_counts_cs": counted(RAW_TERMS, "documents", "text"),
-    "device_counts": counted(DEVICES, "events", "event_type"),
-    "post_type_counts": """SELECT toxic = 1 AS is_self, count(*) AS count FROM documents JOIN labels USING (doc_id) GROUP BY 1""",
+    "device_counts": counted(DEVICES, "events", RECORD),
+    "post_type_counts": """SELECT toxic = 1 AS is_self, count(*) AS count FROM documents LEFT JOIN labels USING (doc_id) GROUP BY 1""",
     "post_count": "SELECT count(*) AS post_count FROM documents",
     "word_count": """SELECT word, count(*) AS count FROM (SELECT unnest(string_split(line, ' ')) AS word
         FROM (SELECT unnest(string_split(text, chr(10))) AS line FROM documents)) GROUP BY word""",
@@ -297,7 +332,8 @@ ORACLES: dict[str, str] = {
     "user_timezones": f"WITH {STATUSES} SELECT screen_name, time_zone FROM english",
     "weak_labels": f"WITH {LABELED} SELECT id, weak_label FROM labeled",
     "weak_label_distribution": f"WITH {LABELED} SELECT weak_label, count(*) AS count FROM labeled GROUP BY weak_label",
-    "masked_labels": "SELECT 'other' AS weak_label, count(*) AS count FROM documents",
+    "masked_labels": f"""WITH masked AS (SELECT trim(regexp_replace(regexp_replace(lower(text), '{'|'.join(MASKED)}', '*', 'g'), '\\s+', ' ', 'g')) AS normalized
+        FROM documents) SELECT {rule_case()} AS weak_label, count(*) AS count FROM masked GROUP BY 1""",
     "sentiment_scores": f"WITH {PLAIN} SELECT id, sentiment_compound, sentiment_pos, sentiment_neu, sentiment_neg FROM plain",
     "sentiment_labels": f"WITH {PLAIN} SELECT id, {labeled_as('sentiment_compound')} AS sentiment_label FROM plain",
     "sentiment_rules": f"""WITH {RULED} SELECT id, sentiment_compound, sentiment_pos, sentiment_neu, sentiment_neg,
@@ -368,3 +404,4 @@ ORACLES: dict[str, str] = {
     "stream_track": """SELECT event_id, event_type, user_id FROM events WHERE contains(event_type, 'error') OR contains(event_type, 'signup')""",
     "stream_new_posts": "SELECT DISTINCT conv_id AS id FROM conversations",
 }
+ORACLES["metrics_json"] = ORACLES["classification_metrics"]

@@ -10,11 +10,11 @@ from pyspark.sql import functions as F
 
 from postlens import params
 from postlens.operators import classify, counts
-from postlens.operators.emotion import add_emotion_columns, emotion_scores
+from postlens.operators.emotion import fill_emotions
 from postlens.operators.evaluate import confusion_summary
 from postlens.operators.labels import add_weak_labels
-from postlens.operators.lexicon import affect_table, valence_table
-from postlens.operators.sentiment import add_scores, ruled_scores
+from postlens.operators.lexicon import affect_table, join_scores, valence_table
+from postlens.operators.sentiment import fill_scores, sentiment_and_emotion
 from postlens.operators.splits import add_split, add_stratified_split
 from postlens.sources.sinks import save_model, write_metrics, write_report, write_rows
 
@@ -43,11 +43,10 @@ class PostParams:
 def enrich(posts: DataFrame, valences: DataFrame, affects: DataFrame, p: PostParams = PostParams()) -> DataFrame:
     """Posts with sentiment, emotion and weak label.
 
-    Both score tables are keyed by id, so the posts are shuffled once for the two joins.
+    All scores come from one pass over the text, and one join adds them to the posts.
     """
-    sentiment = ruled_scores(posts, valences, p.id_col, p.text_col, p.sentiment_rules)
-    emotion = emotion_scores(posts, affects, p.id_col, p.text_col, p.affects, p.ties)
-    scored = add_emotion_columns(add_scores(posts, sentiment, p.id_col), emotion, p.id_col)
+    scores = sentiment_and_emotion(posts, valences, affects, p.id_col, p.text_col, p.sentiment_rules, p.affects, p.ties)
+    scored = fill_emotions(fill_scores(join_scores(posts, scores, p.id_col, p.text_col)))
     return add_weak_labels(scored, p.rules, p.text_col)
 
 
@@ -97,13 +96,12 @@ def run_posts(
         min_rows=p.min_rows, max_iter=p.max_iter,
     )
     model_path = save_model(trained.model, f"{out}/model")
-    predicted = classify.apply_model(trained.model, enriched)
-    finished = predicted.withColumn("emotion_scores", F.to_json("emotion_scores"))
-    write_rows(finished, f"{out}/enriched_posts")
+    classify.apply_model(trained.model, enriched).write.mode("overwrite").parquet(f"{out}/predicted_table")
+    predicted = spark.read.parquet(f"{out}/predicted_table")
+    write_rows(predicted.withColumn("emotion_scores", F.to_json("emotion_scores")), f"{out}/enriched_posts")
 
-    labels = spark.read.schema("weak_label STRING, ml_predicted_label STRING").json(f"{out}/enriched_posts")
-    reports["ml_distribution"] = counts.distribution(labels, "ml_predicted_label")
-    reports["ml_confusion_summary"] = confusion_summary(labels)
+    reports["ml_distribution"] = counts.distribution(predicted, "ml_predicted_label")
+    reports["ml_confusion_summary"] = confusion_summary(predicted)
     for name, report in reports.items():
         write_report(report, f"{out}/{name}")
     write_metrics(classify.metrics_frame(posts, trained, model_path=model_path), f"{out}/ml_metrics")

@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-from functools import lru_cache
 
 from pyspark.sql import SparkSession
 
@@ -27,20 +25,20 @@ def build_session(app_name: str = "postlens", master: str | None = None, **conf:
     return builder.getOrCreate()
 
 
-@lru_cache(maxsize=1)
-def local_folder() -> str:
-    return tempfile.mkdtemp(prefix="postlens-")
+_named: list[str] = []
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new folder name below the shared folder the cluster names in ``spark.checkpoint.dir``.
+def name_scratch(folder: str) -> None:
+    """Name the scratch folder of sessions that leave ``spark.checkpoint.dir`` unset, for runs on a single machine."""
+    _named[:] = [folder]
+
 
-    Only a local session may do without that setting: it gets a temporary folder, which every task of a
-    single-machine session can reach.
-    """
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new folder name below the shared folder the cluster names in ``spark.checkpoint.dir``, or on a single machine
+    below the one that ``name_scratch`` names. Raises if there is neither."""
     base = spark.conf.get(CHECKPOINT_KEY, None)
+    if not base and _named and spark.sparkContext.master.startswith("local"):
+        base = _named[0]
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError(f"set {CHECKPOINT_KEY} to a folder that all executors share")
-        base = local_folder()
+        raise RuntimeError(f"set {CHECKPOINT_KEY} to a folder that all executors share")
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"

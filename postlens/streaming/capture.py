@@ -10,6 +10,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from postlens.functions.text import quoted
 
+# Session settings that keep the state of a stream on disk and not in the heap.
+DISK_STATE = {"spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"}
 # Folder names of the three copies of a captured record.
 QUOTED, RAW, LINES = "quoted", "raw", "lines"
 
@@ -70,7 +72,8 @@ def start_new_posts(
 ) -> StreamingQuery:
     """Append each post once, however often its id arrives.
 
-    With a time column the state of old ids is dropped after ``delay``; without one all ids are kept as state.
+    With a time column the state of old ids is dropped after ``delay``; without one all ids are kept as state, so set
+    ``DISK_STATE`` in the session of a stream that runs for long.
     """
     if time_col:
         unseen = posts.withWatermark(time_col, delay).dropDuplicatesWithinWatermark([id_col])
@@ -85,3 +88,9 @@ def start_new_posts(
 def read_captured(spark: SparkSession, out: str) -> DataFrame:
     """The records of a capture as they came in."""
     return spark.read.schema("value STRING, batch BIGINT").json(f"{out}/{RAW}").select("value")
+
+
+def read_copies(spark: SparkSession, out: str) -> DataFrame:
+    """The quoted and the line copy of a capture as (copy, value), as they stand in their files."""
+    parts = [spark.read.schema("value STRING, batch BIGINT").text(f"{out}/{name}").select(F.lit(name).alias("copy"), "value") for name in (QUOTED, LINES)]
+    return parts[0].union(parts[1])

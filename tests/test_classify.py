@@ -91,10 +91,23 @@ def test_tfidf_with_a_word_in_every_post(spark):
     assert got[(4, "even")] == (1, 25, round(math.log(51 / 26), 6))
 
 
-def test_tfidf_with_and_without_common_words_is_the_same(spark):
+def test_tfidf_is_the_same_however_rows_are_joined(spark):
     frame = spark.createDataFrame([(i, f"all w{i % 7} w{i % 11} x{i}") for i in range(80)], "id BIGINT, text STRING")
-    results = [sorted(features.tfidf_terms(frame, common=n).collect()) for n in (1, 5, 1000)]
-    assert results[0] == results[1] == results[2] and len(results[0]) > 200
+    results = []
+    for bound in ("-1", "10m"):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", bound)
+        results.append(sorted(features.tfidf_terms(frame).collect()))
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert results[0] == results[1] and len(results[0]) > 200
+
+
+def test_a_null_text_gets_a_label_and_stays_null(spark):
+    frame = splits.add_split(add_weak_labels(posts(spark)))
+    model = classify.train(frame, max_iter=3).model
+    rows = spark.createDataFrame([("x", None), ("y", "flood water")], "id STRING, text STRING")
+    got = classify.apply_model(model, rows)
+    assert got.columns == ["id", "text", classify.PREDICTED]
+    assert {r["id"]: r["text"] for r in got.collect() if r[classify.PREDICTED]} == {"x": None, "y": "flood water"}
 
 
 def test_gram_features_have_unit_length(spark):

@@ -11,7 +11,7 @@ LAZY = [
     key
     for key in catalog.QUERIES
     if not key.startswith(("ml_", "stream_", "json_", "hydrate_append")) and key not in
-    ("status_json", "text_lines", "annotation_csv", "report_csv", "pair_text", "hashtag_lists")
+    ("status_json", "text_lines", "annotation_csv", "report_csv", "pair_text", "hashtag_lists", "metrics_json", "word_count_text")
 ]
 
 
@@ -59,6 +59,24 @@ def test_enrichment_shuffles_the_text_once(spark, sf, explain):
     assert sum(bool(re.search(r"\btext#", columns)) for columns in shuffled) == 1
 
 
+def test_enrichment_reads_the_text_twice_and_hashes_nothing_unbounded(spark, sf, explain):
+    plan = explain(catalog.enriched(spark, sf))
+    assert plan.count("ReadSchema") <= 2 and "ShuffledHashJoin" not in plan
+
+
+@pytest.mark.parametrize("key", ["tfidf_terms", "split_stratified"])
+def test_text_is_read_twice_at_most(spark, sf, explain, key):
+    found = re.findall(r"ReadSchema: struct<(.*?)>\n", explain(catalog.QUERIES[key](spark, sf)))
+    assert sum("text" in columns for columns in found) <= 2
+
+
+def test_no_folder_no_scratch(spark, monkeypatch):
+    monkeypatch.setattr("postlens.session.CHECKPOINT_KEY", "spark.not.set")
+    monkeypatch.setattr("postlens.session._named", [])
+    with pytest.raises(RuntimeError, match="shared"):
+        scratch_path(spark, "x")
+
+
 def test_scratch_folder_is_the_one_the_session_names(spark):
     assert scratch_path(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
 

@@ -6,6 +6,7 @@ import glob
 import math
 import os
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -68,7 +69,7 @@ def compare(spark, connection, folder: str, key: str) -> str:
 def main() -> None:
     folder, keys = sys.argv[1], sys.argv[2:] or list(QUERIES)
     spark = build_session(
-        "check", "local[8]", **{"spark.driver.memory": "12g", "spark.ui.enabled": "false", "spark.sql.shuffle.partitions": "8"}
+        "check", "local[8]", **{"spark.driver.memory": "12g", "spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", "spark.sql.shuffle.partitions": "8", "spark.checkpoint.dir": tempfile.mkdtemp()}
     )
     spark.sparkContext.setLogLevel("ERROR")
     connection = views(folder)
