@@ -6,10 +6,11 @@ groups whose union shares enough tokens with it to hold a partner. The steps:
 1. Documents with equal shingle sets become one set. Tokens that a large share of all sets hold are found on the way.
 2. Each set reports the first tokens of one common order (frequent tokens last). Linked sets have a known number of them
    in common, so sets that share fewer with all others are done.
-3. Sets that share a token form the group of the least set among them, its leader. Members are compared with the leader.
-4. Members that are not connected with their leader by then are queries against their group, which is cut into small
-   groups of similar members with a token-group matrix. Only pairs in qualifying groups are compared, and none that are
-   connected already.
+3. Sets of fitting sizes that share a token form the group of the least set among them, its leader. Each set is compared
+   with the leader it shares most tokens with, and links make components.
+4. For each set the tokens are counted that sets of other components hold, too; sets with too few of them are done. The
+   rest form groups again. Each is cut into small groups of similar members with a token-group matrix, and only members
+   of qualifying groups are compared, and none that are connected already.
 
 All comparisons are of whole sets; every link between different components is found.
 """
@@ -33,7 +34,7 @@ FREQUENT = 1 << 17
 #: Tokens that are counted together before rare ones are left out of the counts.
 COUNTED = 1 << 22
 #: One in EXTRA tokens of a set is reported beyond the least number.
-EXTRA = 20
+EXTRA = 12
 #: Members on one side of a cell, and members of a small group.
 BLOCK, SMALL = 1024, 16
 
@@ -158,12 +159,12 @@ def _grouped_texts(batches):
 
 
 def _reporter(frequent: np.ndarray):
-    """(token, set) of each set once in a task; the lowest bit of a token tells whether it is frequent."""
+    """(token, set, n) of each set once in a task; the lowest bit of a token tells whether it is frequent."""
 
     def run(batches):
         seen = set()
         for _, texts in _grouped_texts(batches):
-            tokens, sets = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+            tokens, sets, sizes = [np.empty(0, np.int64)], [np.empty(0, np.int64)], [np.empty(0, np.int32)]
             for s in shingle_sets(texts):
                 i = set_id(s)
                 if len(s) and i not in seen:
@@ -171,38 +172,46 @@ def _reporter(frequent: np.ndarray):
                     got, often = reported(s, frequent)
                     tokens.append(((got & ~np.uint64(1)) | often.astype(np.uint64)).view(np.int64))
                     sets.append(np.full(len(got), i))
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(tokens)), pa.array(np.concatenate(sets))], names=["token", "set"])
+                    sizes.append(np.full(len(got), len(s), np.int32))
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (tokens, sets, sizes)], names=["token", "set", "n"])
 
     return run
 
 
 def _shared(batches):
-    """From rows in the order of their tokens: those whose token has two sets or more, or is frequent."""
-    token, sets = np.empty(0, np.int64), np.empty(0, np.int64)
+    """From rows in the order of their tokens: those of sets that share their token with one of fitting size, with the
+    least set of such a run as the leader. Rows of frequent tokens all stay and have no leader yet."""
+    held = [np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64)]
 
-    def several(token, sets):
-        order = np.lexsort((sets, token))
-        token, sets = token[order], sets[order]
+    def several(token, sets, n):
+        order = np.lexsort((sets, n, token))
+        token, sets, n = token[order], sets[order], n[order]
         fresh = np.concatenate(([True], (token[1:] != token[:-1]) | (sets[1:] != sets[:-1])))[: len(token)]
-        token, sets = token[fresh], sets[fresh]
-        same = token[1:] == token[:-1]
-        many = (token & 1).astype(bool)
-        many[1:] |= same
-        many[:-1] |= same
-        return pa.RecordBatch.from_arrays([pa.array(token[many]), pa.array(sets[many])], names=["token", "set"])
+        token, sets, n = token[fresh], sets[fresh], n[fresh]
+        often = (token & 1).astype(bool)
+        starts = np.ones(len(token), dtype=bool)  # of runs of sets such that each fits the next
+        starts[1:] = (token[1:] != token[:-1]) | (100 * n[:-1] < PERCENT * n[1:])
+        run = np.cumsum(starts) - 1
+        first = np.flatnonzero(starts)
+        leader = np.minimum.reduceat(sets, first)[run] if len(first) else sets
+        stay = often | (np.bincount(run)[run] > 1) if len(run) else often
+        return pa.RecordBatch.from_arrays(
+            [pa.array(token[stay]), pa.array(sets[stay]), pa.array(n[stay]), pa.array(leader[stay], mask=often[stay])], names=["token", "set", "n", "leader"]
+        )
 
     for batch in batches:
-        token = np.concatenate((token, batch.column(0).to_numpy()))
-        sets = np.concatenate((sets, batch.column(1).to_numpy()))
+        held = [np.concatenate((old, batch.column(i).to_numpy().astype(np.int64))) for i, old in enumerate(held)]
+        token = held[0]
+        cut = 0
         if len(token) and token[0] != token[-1]:
             cut = int(np.flatnonzero(token != token[-1])[-1]) + 1
-            yield several(token[:cut], sets[:cut])
-            token, sets = token[cut:], sets[cut:]
         elif len(token) and token[-1] & 1:  # a frequent token needs no look at its other rows
-            yield several(token, sets)
-            token, sets = token[:0], sets[:0]
-    if len(token):
-        yield several(token, sets)
+            cut = len(token)
+        if cut:
+            yield several(*[x[:cut] for x in held])
+            held = [x[cut:] for x in held]
+    if len(held[0]):
+        yield several(*held)
 
 
 def _teller(batches_of):
@@ -211,12 +220,12 @@ def _teller(batches_of):
     def run(batches):
         for keys, texts in batches_of(batches):
             out = []
-            for wanted, s in zip(keys, shingle_sets(texts)):
+            for asked, s in zip(keys, shingle_sets(texts)):
                 i = set_id(s)
-                if i in wanted:
-                    out.append((i, s.tobytes()))
+                out += [(i, s.tobytes(), r["leader"], r["leads"]) for r in asked if r["set"] == i]
             if out:
-                yield pa.RecordBatch.from_arrays([pa.array([o[0] for o in out], pa.int64()), pa.array([o[1] for o in out], pa.binary())], names=["set", "tokens"])
+                kinds = (pa.int64(), pa.binary(), pa.int64(), pa.bool_())
+                yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out), kinds)], names=["set", "tokens", "leader", "leads"])
 
     return run
 
@@ -283,20 +292,34 @@ def _opened(cell: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(edges, columns=["a", "b"], dtype="int64")
 
 
-def _open_groups(groups: DataFrame, star: DataFrame, tokens: DataFrame, block: int) -> DataFrame:
-    """More edges: members that are not connected with their leader, against all of their group, in cells of at most two
-    blocks of sets."""
+def _open_groups(shared: DataFrame, able: DataFrame, star: DataFrame, tokens: DataFrame, block: int) -> DataFrame:
+    """More edges: sets whose shared tokens reach into other components far enough, against the groups of these tokens.
+
+    A set can link with another component only if enough of its tokens are in that component's union; the tokens that
+    any other component holds are counted, and sets with too few of them are done. The rest form groups anew, and each
+    group is worked on in cells of at most two blocks of sets: one side asks, the other is asked.
+    """
     parts = components(star, "ngram-star").select(F.col("node").alias("set"), "component")
-    own = groups.join(parts, "set", "left").withColumn("component", F.coalesce("component", "set"))
-    leads = own.where("set = leader").select("leader", F.col("component").alias("lead"))
-    own = own.join(leads, "leader").withColumn("is_query", F.col("component") != F.col("lead"))
-    sizes = own.groupBy("leader").agg(F.sum(F.col("is_query").cast("long")).alias("q"), F.count(F.lit(1)).alias("m")).where("q > 0")
-    own = keep(own.join(sizes, "leader").select("leader", "set", "component", "is_query", "q", "m"), "ngram-open")
-    rows, cols = F.ceil(F.col("q") / block).cast("int"), F.ceil(F.col("m") / block).cast("int")
-    spread = F.xxhash64("set", F.lit(1))
-    asking = own.where("is_query").withColumns({"row": F.pmod(spread, rows).cast("int"), "col": F.explode(F.sequence(F.lit(0), cols - 1))})
-    asked = own.withColumns({"is_query": F.lit(False), "col": F.pmod(spread, cols).cast("int"), "row": F.explode(F.sequence(F.lit(0), rows - 1))})
-    cells = asking.unionByName(asked).join(tokens, "set").select("leader", "row", "col", "set", "component", "is_query", "tokens")
+    named = able.select("set").join(parts, "set", "left").withColumn("component", F.coalesce("component", "set"))
+    own = shared.select("token", "set", "n").join(named, "set")
+    mixed = own.groupBy("token").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a < b").select("token")
+    own = keep(own.join(mixed, "token"), "ngram-mixed")
+    for _ in range(2):  # sets that are done leave their tokens, which may settle others
+        some = own.groupBy("set", "n").agg(F.count(F.lit(1)).alias("found")).where(f"found >= {NEEDED}").select("set")
+        own = own.join(some, "set")
+        mixed = own.groupBy("token").agg(F.min("component").alias("a"), F.max("component").alias("b"), F.min("set").alias("leader")).where("a < b")
+        own = keep(own.join(mixed.select("token", "leader"), "token").select("token", "set", "n", "component", "leader"), "ngram-mixed")
+        groups = own
+        own = own.drop("leader")
+    groups = keep(groups.groupBy("leader", "set", "component").agg(F.min("n").alias("n")), "ngram-open")
+    sizes = groups.groupBy("leader").agg(F.count(F.lit(1)).alias("m"), F.min("component").alias("a"), F.max("component").alias("b")).where("a < b")
+    own = groups.join(sizes.select("leader", "m"), "leader")
+    blocks, spread = F.ceil(F.col("m") / block).cast("int"), F.xxhash64("set", F.lit(1))
+    own = own.withColumns({"blocks": blocks, "part": F.pmod(spread, blocks).cast("int")})
+    every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    asking = own.select("leader", "set", "component", F.lit(True).alias("is_query"), F.col("part").alias("row"), every.alias("col")).where("row <= col")
+    asked = own.select("leader", "set", "component", F.lit(False).alias("is_query"), every.alias("row"), F.col("part").alias("col")).where("row <= col")
+    cells = asking.union(asked).join(tokens.select("set", "tokens"), "set").select("leader", "row", "col", "set", "component", "is_query", "tokens")
     return cells.groupBy("leader", "row", "col").applyInPandas(_opened, "a long, b long")
 
 
@@ -317,22 +340,28 @@ def classes(docs: DataFrame, block: int = BLOCK, salts: int = 64) -> DataFrame:
     often = survey.where("is_token").groupBy("set").agg(F.sum("n").alias("n")).where(F.col("n") >= least).select("set")
     frequent = np.sort(np.array([r[0] for r in often.collect()], dtype=np.int64).view(np.uint64))  # at most FREQUENT tokens, 1 MB
 
-    report = rows.mapInArrow(_reporter(frequent), "token long, set long")
+    report = rows.mapInArrow(_reporter(frequent), "token long, set long, n int")
     salt = F.when(F.col("token").bitwiseAND(1) == 1, F.pmod("set", F.lit(salts)))  # spreads the rows of frequent tokens
-    shared = keep(report.repartition("token", salt).sortWithinPartitions("token").mapInArrow(_shared, "token long, set long"), "ngram-shared")
-    counts = shared.groupBy("set").agg(F.count(F.lit(1)).alias("found"))
-    able = counts.join(sets, "set").where(f"found >= {NEEDED}").select("set")
-    shared = shared.join(able, "set")
-    leaders = shared.groupBy("token").agg(F.min("set").alias("leader"), F.count(F.lit(1)).alias("n")).where("n > 1").select("token", "leader")
-    groups = keep(shared.join(leaders, "token").select("set", "leader").distinct(), "ngram-groups")
-
-    asked = groups.select("set").distinct().join(sets, "set").groupBy("id").agg(F.collect_list("set").alias("wanted"))
-    found = rows.join(asked, F.col("key").eqNullSafe(F.col("id"))).select(F.col("wanted").alias("key"), "text")
-    tokens = keep(found.mapInArrow(_teller(_grouped_texts), "set long, tokens binary"), "ngram-tokens")
-    theirs = tokens.select(F.col("set").alias("leader"), F.col("tokens").alias("leader_tokens"))
-    pairs = groups.where("set != leader").join(tokens, "set").join(theirs, "leader").select("set", "tokens", "leader", "leader_tokens")
+    ordered = report.repartition("token", salt).sortWithinPartitions("token")
+    shared = keep(ordered.mapInArrow(_shared, "token long, set long, n long, leader long"), "ngram-shared")
+    first = shared.where("leader is null").groupBy("token").agg(F.min("set").alias("first"))  # at most FREQUENT rows
+    led = shared.join(F.broadcast(first), "token", "left").withColumn("leader", F.coalesce("leader", "first"))
+    groups = keep(led.groupBy("set", "n", "leader").agg(F.count(F.lit(1)).alias("together")), "ngram-groups")
+    able = keep(groups.groupBy("set", "n").agg(F.sum("together").alias("found")).where(f"found >= {NEEDED}").select("set", "n"), "ngram-able")
+
+    # the leader of the most tokens, if it is of fitting size
+    leads = able.select(F.col("set").alias("leader"), F.col("n").alias("m"))
+    fits = F.lit(100) * F.least("n", "m") >= F.lit(PERCENT) * F.greatest("n", "m")
+    best = groups.where("set != leader").join(leads, "leader").where(fits).groupBy("set").agg(F.max_by("leader", F.struct("together", "leader")).alias("leader"))
+    heads = best.select(F.col("leader").alias("set")).distinct().withColumn("leads", F.lit(True))
+    asked = able.select("set").join(sets, "set").join(best, "set", "left").join(heads, "set", "left")
+    asked = asked.groupBy("id").agg(F.collect_list(F.struct("set", "leader", F.coalesce("leads", F.lit(False)).alias("leads"))).alias("asked"))
+    found = rows.join(asked, F.col("key").eqNullSafe(F.col("id"))).select(F.col("asked").alias("key"), "text")
+    tokens = keep(found.mapInArrow(_teller(_grouped_texts), "set long, tokens binary, leader long, leads boolean"), "ngram-tokens")
+    theirs = tokens.where("leads").select(F.col("set").alias("leader"), F.col("tokens").alias("leader_tokens"))
+    pairs = tokens.where("leader is not null").select("set", "tokens", "leader").join(theirs, "leader").select("set", "tokens", "leader", "leader_tokens")
     star = keep(pairs.mapInArrow(_with_leader, "a long, b long"), "ngram-star")
-    more = keep(_open_groups(groups, star, tokens, block), "ngram-more")
+    more = keep(_open_groups(shared, able, star, tokens, block), "ngram-more")
 
     parts = components(star.union(more), "ngram").select(F.col("node").alias("set"), "component")
     placed = sets.join(parts, "set", "left").withColumn("component", F.coalesce("component", "set"))
