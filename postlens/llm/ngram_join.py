@@ -6,8 +6,8 @@ groups whose union shares enough tokens with it to hold a partner. The steps:
 1. Documents with equal shingle sets become one set. Tokens that a large share of all sets hold are found on the way.
 2. Each set reports the first tokens of one common order (frequent tokens last). Linked sets have a known number of them
    in common, so sets that share fewer with all others are done.
-3. Sets of fitting sizes that share a token form the group of the least set among them, its leader. Each set is compared
-   with the leader it shares most tokens with, and links make components.
+3. Sets of fitting sizes that share a token form a group, which elects a leader. Each set is compared with the leader it
+   shares most tokens with, and links make components.
 4. For each set the tokens are counted that sets of other components hold, too; sets with too few of them are done. The
    rest form groups again. Each is cut into small groups of similar members with a token-group matrix, and only members
    of qualifying groups are compared, and none that are connected already.
@@ -266,9 +266,10 @@ class TokenGroupMatrix:
 
 
 def _opened(cell: pd.DataFrame) -> pd.DataFrame:
-    """Links between components that are found by opening groups: queries of a cell against its members."""
-    members = cell[~cell["is_query"]]
-    queries = cell[cell["is_query"]]
+    """Links between components that are found by opening groups: the sets of one block of a cell against the other's,
+    or against each other where both are the same."""
+    row, col = int(cell["row"].iloc[0]), int(cell["col"].iloc[0])
+    queries, members = cell[cell["part"] == row], cell[cell["part"] == col]
     edges: list[tuple[int, int]] = []
     if len(members) and len(queries):
         sets = [np.frombuffer(t, np.uint64) for t in members["tokens"]]
@@ -285,6 +286,8 @@ def _opened(cell: pd.DataFrame) -> pd.DataFrame:
             query = np.frombuffer(tokens, np.uint64)
             for g in matrix.qualifying(query):
                 for i in matrix.groups[g]:
+                    if row == col and ids[i] >= q:
+                        continue  # this pair is compared once, with the other one asking
                     mine, theirs = find(component), find(parts[i])
                     if mine != theirs and linked(query, sets[i]):
                         edges.append((q, ids[i]))
@@ -297,7 +300,7 @@ def _open_groups(shared: DataFrame, able: DataFrame, star: DataFrame, tokens: Da
 
     A set can link with another component only if enough of its tokens are in that component's union; the tokens that
     any other component holds are counted, and sets with too few of them are done. The rest form groups anew, and each
-    group is worked on in cells of at most two blocks of sets: one side asks, the other is asked.
+    group is worked on in cells of at most two blocks of sets: one block asks, the other is asked.
     """
     parts = components(star, "ngram-star").select(F.col("node").alias("set"), "component")
     named = able.select("set").join(parts, "set", "left").withColumn("component", F.coalesce("component", "set"))
@@ -316,10 +319,9 @@ def _open_groups(shared: DataFrame, able: DataFrame, star: DataFrame, tokens: Da
     own = groups.join(sizes.select("leader", "m"), "leader")
     blocks, spread = F.ceil(F.col("m") / block).cast("int"), F.xxhash64("set", F.lit(1))
     own = own.withColumns({"blocks": blocks, "part": F.pmod(spread, blocks).cast("int")})
-    every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    asking = own.select("leader", "set", "component", F.lit(True).alias("is_query"), F.col("part").alias("row"), every.alias("col")).where("row <= col")
-    asked = own.select("leader", "set", "component", F.lit(False).alias("is_query"), every.alias("row"), F.col("part").alias("col")).where("row <= col")
-    cells = asking.union(asked).join(tokens.select("set", "tokens"), "set").select("leader", "row", "col", "set", "component", "is_query", "tokens")
+    own = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    own = own.withColumns({"row": F.least("part", "other"), "col": F.greatest("part", "other")})
+    cells = own.select("leader", "row", "col", "part", "set", "component").join(tokens.select("set", "tokens"), "set")
     return cells.groupBy("leader", "row", "col").applyInPandas(_opened, "a long, b long")
 
 
@@ -347,12 +349,16 @@ def classes(docs: DataFrame, block: int = BLOCK, salts: int = 64) -> DataFrame:
     first = shared.where("leader is null").groupBy("token").agg(F.min("set").alias("first"))  # at most FREQUENT rows
     led = shared.join(F.broadcast(first), "token", "left").withColumn("leader", F.coalesce("leader", "first"))
     groups = keep(led.groupBy("set", "n", "leader").agg(F.count(F.lit(1)).alias("together")), "ngram-groups")
-    able = keep(groups.groupBy("set", "n").agg(F.sum("together").alias("found")).where(f"found >= {NEEDED}").select("set", "n"), "ngram-able")
+    able = keep(groups.groupBy("set", "n").agg(F.sum("together").alias("found")).where(f"found >= {NEEDED}"), "ngram-able")
 
-    # the leader of the most tokens, if it is of fitting size
-    leads = able.select(F.col("set").alias("leader"), F.col("n").alias("m"))
+    # each group elects the set with most of its tokens in common with any other: an original rather than its edited
+    # copies. A set is compared with the head of fitting size that it shares most tokens with.
+    voters = groups.join(able.select("set", "found"), "set")
+    rank = F.struct(F.col("found") / F.col("n"), "together", "set")
+    elected = voters.groupBy("leader").agg(F.max_by(F.struct("set", "n"), rank).alias("head")).select("leader", F.col("head.set").alias("head"), F.col("head.n").alias("m"))
     fits = F.lit(100) * F.least("n", "m") >= F.lit(PERCENT) * F.greatest("n", "m")
-    best = groups.where("set != leader").join(leads, "leader").where(fits).groupBy("set").agg(F.max_by("leader", F.struct("together", "leader")).alias("leader"))
+    led = voters.join(elected, "leader").where((F.col("set") != F.col("head")) & fits).groupBy("set", "head").agg(F.sum("together").alias("together"))
+    best = keep(led.groupBy("set").agg(F.max_by("head", F.struct("together", "head")).alias("leader")), "ngram-best")
     heads = best.select(F.col("leader").alias("set")).distinct().withColumn("leads", F.lit(True))
     asked = able.select("set").join(sets, "set").join(best, "set", "left").join(heads, "set", "left")
     asked = asked.groupBy("id").agg(F.collect_list(F.struct("set", "leader", F.coalesce("leads", F.lit(False)).alias("leads"))).alias("asked"))
