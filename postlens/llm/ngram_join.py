@@ -21,7 +21,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from postlens.llm.common import LOWER, SPACE, components, joined, keep, mix64, table
@@ -314,7 +314,11 @@ def _open_groups(shared: DataFrame, able: DataFrame, star: DataFrame, tokens: Da
         own = keep(own.join(mixed.select("token", "leader"), "token").select("token", "set", "n", "component", "leader"), "ngram-mixed")
         groups = own
         own = own.drop("leader")
-    groups = keep(groups.groupBy("leader", "set", "component").agg(F.min("n").alias("n")), "ngram-open")
+    # Partners share NEEDED tokens of either. If each leaves its smallest groups, with less than half as many tokens
+    # together, they still meet in one.
+    groups = groups.groupBy("leader", "set", "component", "n").agg(F.count(F.lit(1)).alias("together"))
+    upto = F.sum("together").over(Window.partitionBy("set").orderBy("together", "leader"))
+    groups = keep(groups.withColumn("upto", upto).where(f"upto > floor(({NEEDED} - 1) / 2)").select("leader", "set", "component"), "ngram-open")
     sizes = groups.groupBy("leader").agg(F.count(F.lit(1)).alias("m"), F.min("component").alias("a"), F.max("component").alias("b")).where("a < b")
     own = groups.join(sizes.select("leader", "m"), "leader")
     blocks, spread = F.ceil(F.col("m") / block).cast("int"), F.xxhash64("set", F.lit(1))
