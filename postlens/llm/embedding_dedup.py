@@ -19,8 +19,8 @@ TABLES, CODES = 8, 32
 #: pairs share one; one rotation with as many filters gives 92, as its sums depend on each other.
 FILTERS = 24
 SEED = 11
-#: Vectors on one side of a product.
-BLOCK = 1024
+#: Vectors on one side of a product, and filters of at most one block that a task takes at a time.
+BLOCK, TOGETHER = 1024, 64
 
 
 def codes(dims: int, table: int, seed: int = SEED) -> tuple[np.ndarray, np.ndarray]:
@@ -104,31 +104,38 @@ def _smaller_shared(lists: list[np.ndarray], this: int) -> np.ndarray:
 
 
 def _verified(dtype: str, threshold: float):
-    def work(cell: pd.DataFrame) -> pd.DataFrame:
-        """Links of the pairs of one cell whose smallest shared filter is this one, so that each pair counts once."""
-        cell = cell.drop_duplicates("node").sort_values("node")
-        units = _units(cell["v"], dtype, int(cell["dims"].iloc[0]))
-        first, second = int(cell["row"].iloc[0]), int(cell["col"].iloc[0])
-        block = cell["block"].to_numpy()
+    def cell(units, node, copies, block, filters, number, mixed):
+        """(node, links, root) of one cell: pairs whose smallest shared filter is this one, so that each pair counts once."""
         linked = units @ units.T >= threshold
-        if first != second:
+        if mixed:
             linked &= block[:, None] != block[None, :]
         np.fill_diagonal(linked, False)
-        if linked.any():
-            linked &= ~_smaller_shared([np.frombuffer(f, np.int32) for f in cell["filters"]], int(cell["filter"].iloc[0]))
+        if not linked.any():
+            return None
+        linked &= ~_smaller_shared([np.frombuffer(f, np.int32) for f in filters], number)
         rows = np.flatnonzero(linked.any(axis=1))
-        links = linked[rows].astype(np.float64) @ cell["copies"].to_numpy(np.float64)
-        root = np.arange(len(cell))
-        near = linked[np.ix_(rows, rows)]
-        label = rows.copy()
-        while len(rows):
-            least = np.minimum(label, np.where(near, label[None, :], len(cell)).min(axis=1))
+        if not len(rows):
+            return None
+        links = linked[rows].astype(np.float64) @ copies
+        label, near = rows.copy(), linked[np.ix_(rows, rows)]
+        while True:
+            least = np.minimum(label, np.where(near, label[None, :], len(node)).min(axis=1))
             if (least == label).all():
-                break
-            label = least
-        root[rows] = label
-        node = cell["node"].to_numpy()
-        return pd.DataFrame({"node": node[rows], "links": links.astype(np.int64), "root": node[root[rows]]})
+                return node[rows], links.astype(np.int64), node[label]
+            # a row takes the label of the row that its label stands for
+            label = least[np.searchsorted(rows, least)]
+
+    def work(cells: pd.DataFrame) -> pd.DataFrame:
+        cells = cells.sort_values(["filter", "node"]).drop_duplicates(["filter", "node"])
+        units = _units(cells["v"], dtype, int(cells["dims"].iloc[0]))
+        node, copies, block = (cells[c].to_numpy() for c in ("node", "copies", "block"))
+        numbers, filters = cells["filter"].to_numpy(), cells["filters"].to_numpy()
+        mixed = bool(cells["row"].iloc[0] != cells["col"].iloc[0])
+        cuts = np.append(np.flatnonzero(np.concatenate(([True], numbers[1:] != numbers[:-1]))), len(numbers))
+        found = [cell(units[a:b], node[a:b], copies[a:b].astype(np.float64), block[a:b], filters[a:b], int(numbers[a]), mixed) for a, b in zip(cuts[:-1], cuts[1:])]
+        found = [f for f in found if f]
+        columns = [np.concatenate(c) for c in zip(*found)] if found else [np.empty(0, np.int64)] * 3
+        return pd.DataFrame(dict(zip(("node", "links", "root"), columns)))
 
     return work
 
@@ -145,8 +152,10 @@ def near_links(vectors: DataFrame, dtype: str, threshold: float = THRESHOLD, wan
     blocks = F.ceil(F.col("n") / block).cast("int")
     rows = rows.withColumns({"blocks": blocks, "block": F.pmod(F.xxhash64("node"), blocks).cast("int")})
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumns({"row": F.least("block", "other"), "col": F.greatest("block", "other")})
-    cells = rows.select("node", "label", "dims", "copies", "filter", "v", "filters", "block", "row", "col")
-    return cells.groupBy("label", "dims", "filter", "row", "col").applyInPandas(_verified(dtype, threshold), "node long, links long, root long")
+    # small filters are handed over several at a time
+    several = F.when(F.col("blocks") == 1, -1 - F.floor(F.col("filter") / TOGETHER)).otherwise(F.col("filter"))
+    cells = rows.withColumn("hand", several).select("node", "label", "dims", "copies", "hand", "filter", "v", "filters", "block", "row", "col")
+    return cells.groupBy("label", "dims", "hand", "row", "col").applyInPandas(_verified(dtype, threshold), "node long, links long, root long")
 
 
 def near_duplicates(table_: DataFrame, threshold: float = THRESHOLD, wanted: float = FILTERS, block: int = BLOCK) -> DataFrame:
