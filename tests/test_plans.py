@@ -73,7 +73,7 @@ def test_text_is_read_twice_at_most(spark, sf, explain, key):
 def test_no_folder_no_scratch(spark, monkeypatch):
     monkeypatch.setattr("postlens.session.CHECKPOINT_KEY", "spark.not.set")
     monkeypatch.setattr("postlens.session._named", [])
-    with pytest.raises(RuntimeError, match="shared"):
+    with pytest.raises(RuntimeError, match="executors share"):
         scratch_path(spark, "x")
 
 
