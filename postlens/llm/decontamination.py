@@ -13,14 +13,19 @@ from postlens.llm.common import keep_rows, over_texts, table
 
 #: Characters of a q-gram. All lengths are bytes of the normalised text (``normalised``).
 GRAM = 10
-#: An item is looked for window by window: a copied passage of WINDOW + STEP bytes holds at least one window.
-WINDOW, STEP = 120, 60
+#: A short window starts at each word of an item, and at every STEP bytes within a longer word. It ends after WORDS words,
+#: but has LEAST to WINDOW bytes. So a copied passage of WORDS words and LEAST bytes, or of WINDOW bytes from the start of
+#: a word on, or of WINDOW + STEP bytes wherever it is cut, holds one.
+WORDS, LEAST, WINDOW, STEP = 12, 40, 60, 10
+#: Long windows of LONG bytes at every LONG_STEP bytes; an item of up to LONG bytes is one. They find copies whose edits stand
+#: closer together than a short window may have them.
+LONG, LONG_STEP = 120, 60
 #: Edits that a window may have, as a share of its length.
 EDITS = 1 / 15
 #: Diagonals of a band before its overlap with the next, which is the largest number of edits.
 BAND = 16
 #: Bytes of benchmark text whose index is broadcast at a time; a larger benchmark is worked through in several passes.
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 2 << 20
 _BITS = 20
 
 _KEEP = np.zeros(256, dtype=np.uint8)
@@ -63,7 +68,7 @@ class Index:
     items: np.ndarray  # row of the item of each window
     names: list  # item_id by row
     at: np.ndarray  # offset of the window in its item
-    windows: np.ndarray  # (windows, WINDOW) bytes, zero beyond the length
+    windows: np.ndarray  # (windows, LONG) bytes, zero beyond the length
     lengths: np.ndarray
     edits: np.ndarray  # edits allowed
     bound: np.ndarray  # shared q-grams that a match has at least
@@ -74,30 +79,40 @@ class Index:
     seen: np.ndarray  # one flag for each slot
 
 
+def spans(data: bytes) -> list[tuple[int, int]]:
+    """Start and end of the windows of a normalised item."""
+    last = max(0, len(data) - LONG)
+    found = {(s, min(s + LONG, len(data))) for s in (*range(0, last, LONG_STEP), last)}
+    blanks = [i for i, c in enumerate(data) if c == 32]
+    ends = [*blanks, len(data)]
+    for word, (start, end) in enumerate(zip([0, *(i + 1 for i in blanks)], ends)):
+        full = ends[word + WORDS - 1] if word + WORDS <= len(ends) else len(data) + WINDOW
+        for s in range(start, end, STEP):
+            e = min(max(full, s + LEAST), s + WINDOW)
+            if e <= len(data):
+                found.add((s, e))
+    return sorted(found)
+
+
 def build_index(items: list[tuple]) -> Index:
     """The index of (item_id, text) rows. Items of fewer than GRAM normalised bytes say nothing and are left out."""
-    names, rows, at, windows = [], [], [], []
+    names, rows, at, windows, codes = [], [], [], [], [np.empty(0, np.uint64)]
     for name, text in items:
         data = normalised((text or "").encode())
         if len(data) < GRAM:
             continue
-        last = max(0, len(data) - WINDOW)
-        starts = sorted({*range(0, last, STEP), last})
-        rows += [len(names)] * len(starts)
-        at += starts
-        windows += [data[s : s + WINDOW] for s in starts]
+        grams = gram_codes(np.frombuffer(data, np.uint8))
+        for start, end in spans(data):
+            rows.append(len(names))
+            at.append(start)
+            windows.append(data[start:end])
+            codes.append(grams[start : end - GRAM + 1])
         names.append(name)
     lengths = np.array([len(w) for w in windows], dtype=np.int64)
-    matrix = np.zeros((len(windows), WINDOW), np.uint8)
-    codes, window, offset = [np.empty(0, np.uint64)], [np.empty(0, np.int64)], [np.empty(0, np.int64)]
-    for i, w in enumerate(windows):
-        data = np.frombuffer(w, np.uint8)
-        matrix[i, : len(w)] = data
-        got = gram_codes(data)
-        codes.append(got)
-        window.append(np.full(len(got), i))
-        offset.append(np.arange(len(got)))
-    codes, window, offset = np.concatenate(codes), np.concatenate(window), np.concatenate(offset)
+    matrix = np.frombuffer(b"".join(w.ljust(LONG, b"\0") for w in windows), np.uint8).reshape(-1, LONG)
+    codes, counts = np.concatenate(codes), lengths - GRAM + 1
+    window = np.repeat(np.arange(len(windows), dtype=np.int32), counts)
+    offset = (np.arange(len(codes)) - np.repeat(np.cumsum(counts) - counts, counts)).astype(np.int16)
     order = np.argsort(codes, kind="stable")
     distinct, first = np.unique(codes[order], return_index=True)
     edits = np.floor(lengths * EDITS).astype(np.int64)
@@ -125,24 +140,24 @@ def _regions(data: np.ndarray, index: Index, overlap: int) -> tuple[np.ndarray,
     places, found = places[same], found[same]
     times = index.first[found + 1] - index.first[found]
     hit = np.repeat(index.first[found] - np.concatenate(([0], np.cumsum(times)[:-1])), times) + np.arange(times.sum())
-    window = index.window[hit]
-    diagonal = np.repeat(places, times) - index.offset[hit] + WINDOW
+    window = index.window[hit].astype(np.int64)
+    diagonal = np.repeat(places, times) - index.offset[hit] + LONG
     band = diagonal // BAND
     also = diagonal - band * BAND < overlap  # in the overlap with the band before
-    bands = len(data) // BAND + 2 * WINDOW
+    bands = len(data) // BAND + 2 * LONG
     keys, counts = np.unique(np.concatenate((window * bands + band, window[also] * bands + band[also] - 1)), return_counts=True)
     window, band = keys // bands, keys % bands
     enough = counts >= index.bound[window]
-    return window[enough], band[enough] * BAND - WINDOW
+    return window[enough], band[enough] * BAND - LONG
 
 
 def _aligned(data: np.ndarray, index: Index, window: np.ndarray, diagonal: np.ndarray, overlap: int) -> tuple[np.ndarray, np.ndarray]:
     """Least edits between each window and any part of the text within its band, and where that part ends."""
     width = BAND + 3 * overlap
     column = np.arange(width)
-    pad = WINDOW + width
+    pad = LONG + width
     padded = np.concatenate((np.zeros(pad, np.uint8), data, np.zeros(pad + width, np.uint8)))
-    text = padded[(diagonal - overlap + pad)[:, None] + np.arange(WINDOW + width)]
+    text = padded[(diagonal - overlap + pad)[:, None] + np.arange(LONG + width)]
     pattern, lengths = index.windows[window], index.lengths[window]
     costs = np.zeros((len(window), width), np.int32)
     best, end = np.zeros(len(window), np.int64), np.zeros(len(window), np.int64)
@@ -198,8 +213,9 @@ def indexes(benchmark: DataFrame, block_bytes: int = BLOCK_BYTES):
 def leaks(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """``key``, item_id, n_windows, start, end, edits: one row for each row of ``docs`` and item that share a passage.
 
-    A passage is a window of WINDOW bytes of the item (the whole item if it is shorter) that occurs in the text with at
-    most a fifteenth of its length in edits, case, punctuation and spaces aside. Null and empty texts hold none; null
+    A passage is a window of the item, short (WORDS words of LEAST to WINDOW bytes) or long (LONG bytes, the whole item if
+    it is shorter), that occurs in the text with at most a fifteenth of its length in edits, case, punctuation and spaces
+    aside. Shorter passages are not looked for. n_windows counts the windows found, which overlap. Null and empty texts hold none; null
     items and those of fewer than GRAM normalised bytes are in none; repeated items with the same id count once;
     repeated documents have a row each. An empty benchmark gives no rows. Other columns are not read.
     """

@@ -105,3 +105,32 @@ def test_edge_rows(spark, edge, no_docs):
     assert d.without_leaks(edge, benchmark(spark, [])).count() == len(edge_rows())
     want = sorted(((i, 1) for i, t, *_ in edge_rows() if t and t.startswith(" ".join(words(1, 20)))), key=repr)
     assert pairs(d.leaks(edge, benchmark(spark, [(1, " ".join(words(1, 250)))]))) == want
+
+
+def quotes(item, least_words, most_words):
+    parts = item.split()
+    return [" ".join(parts[i : i + n]) for n in range(least_words, most_words + 1) for i in range(len(parts) - n + 1)]
+
+
+@pytest.mark.parametrize("name, item", [(1, text_of(41, 50)), (2, " ".join(["of"] * 3 + text_of(42, 9).split()) + " " + text_of(43, 30)), (3, "漢字" * 60)])
+def test_quotes_at_every_offset(name, item):
+    index = d.build_index([(0, text_of(44, 50)), (name, item)])
+    parts = [q for q in quotes(item, 12, 30) if len(d.normalised(q.encode())) >= d.LEAST]
+    data = d.normalised(item.encode())
+    size = d.WINDOW + d.STEP
+    cut = [data[i : i + n].decode("utf-8", "ignore") for n in (size + 6, 80, 110, 126, 158, 170) for i in range(len(data) - n + 1)]
+    texts = [f"{text_of(500 + i, 12)} {q} {text_of(900 + i, 12)}".encode() for i, q in enumerate(parts + cut)]
+    found = d.find_leaks(texts, index)
+    assert [r[0] for r in found] == list(range(len(texts)))
+    assert {r[1] for r in found} == {1}
+    assert all(r[5] == 0 for r in found)
+
+
+def test_an_edited_item_of_middle_length():
+    item = text_of(45, 40)[:90]
+    close = item[:33] + "0" + item[34:38] + "1" + item[39:43] + "2" + item[44:48] + "3" + item[49:53] + "4" + item[54:58] + "5" + item[59:]
+    assert [r[1] for r in d.find_leaks([close.encode()], d.build_index([(1, item)]))] == [0]
+
+
+def test_short_passages_are_not_looked_for():
+    assert d.find_leaks([b"1 2 3 4 5 6 7 8 9 10 11 12 and other words"], d.build_index([(1, "1 2 3 4 5 6 7 8 9 10 11 12 13 14 15 16 17 18 19 20")])) == []
