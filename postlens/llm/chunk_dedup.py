@@ -11,9 +11,12 @@ from pyspark.sql import functions as F
 from postlens.llm.common import joined, keep, mix64, over_texts, table, text_of
 
 #: Bytes of a chunk; on average a chunk is MIN_CHUNK + 2 ** CUT_BITS long.
-MIN_CHUNK, MAX_CHUNK, CUT_BITS = 32, 256, 5
+MIN_CHUNK, MAX_CHUNK, CUT_BITS = 16, 128, 4
 #: A stretch of repeated chunks is removed from this many bytes on. One or two short chunks also repeat by chance.
-MIN_SPAN = 96
+#: A text that is shorter and an exact copy of another is removed whole.
+MIN_SPAN = 64
+#: Tells the digest of a short text from that of an equal chunk.
+WHOLE = 1
 #: Bytes that decide whether a chunk may end: the width of the gear hash.
 WIDTH = 32
 
@@ -78,12 +81,23 @@ def _first_in_text(owner: np.ndarray, digest: np.ndarray) -> np.ndarray:
     return first
 
 
-def _emit(keys, texts):
-    owner, _, digest = chunks(texts)
-    if len(owner):
-        first = _first_in_text(owner, digest)
-        ids = np.array(keys, dtype=np.int64)[owner[first]]
-        yield pa.RecordBatch.from_arrays([pa.array(digest[first, 0]), pa.array(digest[first, 1]), pa.array(ids)], names=["a", "b", "id"])
+def _whole(text: bytes) -> np.ndarray:
+    return np.frombuffer(xxhash.xxh3_128_digest(text, seed=WHOLE), dtype=np.int64)
+
+
+def _emitter(least: int):
+    """The distinct chunks of each text, and the whole text if it is shorter than ``least``."""
+
+    def work(keys, texts):
+        owner, _, digest = chunks(texts)
+        if len(owner):
+            first = _first_in_text(owner, digest)
+            short = [i for i, text in enumerate(texts) if 0 < len(text) < least]
+            ids = np.array(keys, dtype=np.int64)[np.concatenate((owner[first], np.array(short, dtype=np.int64)))]
+            found = np.concatenate((digest[first], *(_whole(texts[i])[None] for i in short)))
+            yield pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1]), pa.array(ids)], names=["a", "b", "id"])
+
+    return work
 
 
 def _stretches(owner: np.ndarray, ends: np.ndarray, marked: np.ndarray, least: int) -> np.ndarray:
@@ -114,6 +128,8 @@ def _remover(least: int):
             mine, end = owner[a:b], ends[a:b]
             gone = _stretches(mine, end, later, least) if b > a else later
             again = _stretches(mine, end, shared, least) if b > a else shared
+            if 0 < len(text) < least and (whole := listed.get(tuple(_whole(text).tolist()))) is not None:
+                gone, again = gone | whole, np.ones(b - a, dtype=bool)
             start = np.concatenate(([0], end[:-1])) if b > a else end
             size = end - start
             out.append(
@@ -134,12 +150,13 @@ def dedup_chunks(docs: DataFrame, least: int = MIN_SPAN) -> DataFrame:
     """doc_id, n_bytes, n_chunks, n_repeated, n_removed, n_spans, kept (bytes) of each row of ``docs`` (doc_id, text).
 
     Of equal chunks the one in the smallest doc_id stays (a null id is the largest), within a text the first; runs of
-    other copies of ``least`` bytes or more are removed, shorter ones stay. n_repeated counts the bytes of runs whose
-    chunks occur more than once anywhere, removed or not. A null text counts as empty. Rows with equal doc_id count as
+    other copies of ``least`` bytes or more are removed, shorter ones stay unless they are a whole text that equals another
+    whole text. n_repeated counts the bytes of such runs and texts whose chunks occur more than once anywhere, removed or
+    not. A null text counts as empty. Rows with equal doc_id count as
     one document for the choice of the copy that stays. Other columns are not read.
     """
     rows = docs.select(F.coalesce(F.col("doc_id"), F.lit(_LAST)).alias("id"), "doc_id", text_of().alias("text"))
-    every = over_texts(rows, _emit, "a long, b long, id long", "id")
+    every = over_texts(rows, _emitter(least), "a long, b long, id long", "id")
     again = every.groupBy("a", "b").agg(F.min("id").alias("least"), F.max("id").alias("most")).where("least < most")
     again = keep(again.select("a", "b", "least"), "repeated-chunks")
     marked = every.join(again, ["a", "b"]).select("id", F.struct("a", "b", (F.col("id") > F.col("least")).alias("later")).alias("chunk"))

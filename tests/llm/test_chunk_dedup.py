@@ -100,3 +100,30 @@ def test_empty(no_docs):
 
 def test_gear_values_are_spread():
     assert len(np.unique(c.GEAR)) == 256
+
+
+def removed(spark, rows):
+    return {r["doc_id"]: (r["n_repeated"], r["n_removed"]) for r in c.dedup_chunks(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+
+
+def test_short_exact_copies(spark):
+    texts = {n: noise(300 + n, n).decode() for n in (1, 5, 15, 16, 40, 63, 64, 95)}
+    rows = [(k * 1000 + n, t) for n, t in texts.items() for k in (0, 1, 2)]
+    tail = noise(1, 700)
+    last = plain_chunks(tail)[-1].decode()
+    assert len(last) < c.MIN_SPAN
+    rows += [(5000, tail.decode()), (5001, last), (5002, ""), (5003, ""), (5004, None)]  # an end of a text is no whole text
+    got = removed(spark, rows)
+    assert got == {k * 1000 + n: (n, n if k else 0) for n in texts for k in (0, 1, 2)} | {i: (0, 0) for i in range(5000, 5005)}
+
+
+def test_passages_of_fifty_words(spark):
+    rows, sizes = [], {}
+    for k in range(200):
+        passage = noise(4000 + k, 315 + k % 64).decode()
+        rows += [(2 * k + j, noise(6000 + 2 * k + j, 200 + 7 * k % 300).decode() + passage + noise(8000 + 2 * k + j, 300).decode()) for j in (0, 1)]
+        sizes[2 * k + 1] = len(passage)
+    got = removed(spark, rows)
+    assert all(got[i][1] > 0 for i in sizes)
+    assert sum(got[i][1] for i in sizes) > 0.7 * sum(sizes.values())
+    assert not any(got[i - 1][1] for i in sizes)
