@@ -93,9 +93,18 @@ def share_out(parents: DataFrame, children: DataFrame, by: list[str], order: str
 
 
 def leaf_budgets(leaves: DataFrame, weights=WEIGHTS, budget_share: float = BUDGET_SHARE, max_epochs: int = MAX_EPOCHS) -> DataFrame:
-    """Tokens to take from each leaf (``budget``), from its tokens at hand (``tokens``): one row for each leaf that gets any."""
-    caps = leaves.select(*NODES, (F.col("tokens") * max_epochs).cast("long").alias("cap"))
-    total = leaves.agg(F.coalesce(F.sum("tokens") * F.lit(float(budget_share)), F.lit(0.0)).alias("wanted"), F.coalesce(F.sum("tokens"), F.lit(0)).alias("tokens"))
+    """Tokens to take from each leaf (``budget``), from its tokens at hand (``tokens``): one row for each leaf that gets any.
+
+    A leaf under a node of weight 0 can't be used, so it adds nothing to the caps; its tokens still count for the target.
+    """
+    usable = F.lit(True)
+    for level in LEVELS:
+        usable = usable & (_weight(level, weights) > 0)
+    caps = leaves.where(usable).select(*NODES, (F.col("tokens") * max_epochs).cast("long").alias("cap"))
+    total = leaves.agg(
+        F.coalesce(F.sum("tokens") * F.lit(float(budget_share)), F.lit(0.0)).alias("wanted"),
+        F.coalesce(F.sum(F.when(usable, F.col("tokens"))), F.lit(0)).alias("tokens"),
+    )
     budgets = total.select(F.least("wanted", (F.col("tokens") * max_epochs).cast("double")).alias("budget"))
     for depth, level in enumerate(LEVELS):
         by = NODES[: depth + 1]

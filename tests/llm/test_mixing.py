@@ -59,6 +59,16 @@ def test_a_family_in_need_gives_the_rest_to_its_uncles(spark):
     assert got == {"s1": 10, "s2": 247, "s3": 247}
 
 
+@pytest.mark.parametrize("level, zero", [("lang", "l0"), ("source", "s0")])
+def test_leaves_of_weight_zero_leave_their_share_to_others(spark, level, zero):
+    rows = [("d1", "l0", "s0", 1000), ("d1", "l1", "s1", 10), ("d2", "l1", "s1", 1000)]
+    leaves = spark.createDataFrame(rows, [*mixing.NODES, "tokens"])
+    for share, want in ((0.2, {"d1": 10, "d2": 392}), (1.0, {"d1": 10, "d2": 1000})):
+        got = mixing.leaf_budgets(leaves, {level: {zero: 0}}, share, 1).collect()
+        assert {r[mixing.NODES[0]]: r["budget"] for r in got} == want
+        assert all(r[mixing.NODES[1]] == "l1" for r in got)
+
+
 def test_whole_epochs_then_a_prefix(spark):
     rows = [(i, "a b c", "en", "src0", 0, None, None, None, None, None) for i in range(40)] + [(100 + i, "a b c", "de", "src0", 0, None, None, None, None, None) for i in range(400)]
     narrow = mixing.narrow_rows(spark.createDataFrame(rows, DOCS))
