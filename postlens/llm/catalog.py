@@ -5,7 +5,7 @@ from __future__ import annotations
 import importlib
 
 #: Modules with QUERIES and ORACLES.
-MODULES = ("sharding", "url_filter", "mixing", "quality", "warc", "embedding_dedup", "decontamination", "chunk_dedup", "window_dedup", "ngram_join")
+MODULES = ("sharding", "url_filter", "mixing", "quality", "warc", "embedding_dedup", "decontamination", "chunk_dedup", "window_dedup", "ngram_join", "fingerprints", "source_audit", "whitening")
 
 QUERIES: dict = {}
 ORACLES: dict = {}
