@@ -27,10 +27,10 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def keep(frame: DataFrame, name: str) -> DataFrame:
+def keep(frame: DataFrame, name: str, **options: str) -> DataFrame:
     """Write a frame to the shared folder and read it back: cuts the lineage and survives lost executors."""
     path = scratch_path(frame.sparkSession, name)
-    frame.write.parquet(path)
+    frame.write.parquet(path, **options)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 
 

@@ -27,7 +27,7 @@ _INVERSE = {base: pow(base, -1, prime) for prime, base in zip(PRIMES, BASES)}
 SPAN, SAMPLES = 24, 32
 #: Code points of a text whose prefix arrays are held at a time (about 60 bytes each).
 PIECE = 1 << 19
-#: Lengths of the beginnings and endings in a fingerprint, four for each doubling.
+#: Lengths of the beginnings and endings in a fingerprint, four for each doubling; 16 bits are stored of each hash.
 MARKS = np.array([(4 + k % 4) << (k // 4 + 1) for k in range(180)], dtype=np.int64)
 
 
@@ -112,7 +112,7 @@ def fingerprint(text: str) -> str:
     for k, (prime, base) in enumerate(zip(PRIMES, BASES)):
         undo = _undo(base, prime, size - marks)
         ends[k] = (values[k, 0] + np.uint64(prime) - values[k, 1 + len(marks) :]) * undo % np.uint64(prime)
-    short = [(mix64((h[0] << np.uint64(31)) | h[1]) & np.uint64(0xFFFFFF)).astype("<u4").view(np.uint8).reshape(-1, 4)[:, :3].tobytes() for h in (begins, ends)]
+    short = [(mix64((h[0] << np.uint64(31)) | h[1]) & np.uint64(0xFFFF)).astype("<u2").tobytes() for h in (begins, ends)]
     if 0 < size < SPAN:
         samples = np.array([int(mix64(np.array([whole], np.uint64))[0]) >> 32], np.uint32)
     raw = size.to_bytes(8, "big") + whole.to_bytes(8, "big") + short[0] + short[1] + samples.astype("<u4").tobytes()
@@ -124,7 +124,7 @@ def _equal_marks(one: bytes, other: bytes, marks: np.ndarray) -> int:
     low, high = 0, len(marks)
     while low < high:
         middle = (low + high + 1) // 2
-        if one[3 * middle - 3 : 3 * middle] == other[3 * middle - 3 : 3 * middle]:
+        if one[2 * middle - 2 : 2 * middle] == other[2 * middle - 2 : 2 * middle]:
             low = middle
         else:
             high = middle - 1
@@ -146,9 +146,9 @@ def likeness(one: str, other: str) -> float:
     counts = [int(np.searchsorted(MARKS, s, side="right")) for s in (n, m)]
     marks = MARKS[: min(counts)]
     begin = _equal_marks(a[16:], b[16:], marks)
-    end = _equal_marks(a[16 + 3 * counts[0] :], b[16 + 3 * counts[1] :], marks)
+    end = _equal_marks(a[16 + 2 * counts[0] :], b[16 + 2 * counts[1] :], marks)
     extended = min(begin + end, n, m) / max(n, m)
-    left, right = (np.frombuffer(x[16 + 6 * c :], "<u4") for x, c in ((a, counts[0]), (b, counts[1])))
+    left, right = (np.frombuffer(x[16 + 4 * c :], "<u4") for x, c in ((a, counts[0]), (b, counts[1])))
     left, right = set(left.tolist()), set(right.tolist())
     least = sorted(left | right)[:SAMPLES]
     shared = sum(x in left and x in right for x in least) / len(least)
@@ -237,7 +237,7 @@ def fingerprint_edits(docs: DataFrame) -> DataFrame:
     def _batch(out):
         return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out), arrow)], schema=arrow)
 
-    saved = keep(ranged.mapInArrow(work, f"doc_id {kind}, {_RESULT}, part int, edge string, text string"), "fingerprints")
+    saved = keep(ranged.mapInArrow(work, f"doc_id {kind}, {_RESULT}, part int, edge string, text string"), "fingerprints", compression="zstd")
     heads = saved.where("edge = 'head'").select(F.col("part").alias("next"), F.col("fingerprint").alias("next_fingerprint"), F.col("text").alias("next_text"))
     tails = saved.where("edge = 'tail'").select("part", "doc_id", "n_chars", "fingerprint", "text")
     around = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
