@@ -22,7 +22,7 @@ from postlens.llm.common import keep, table, text_of
 #: Documents of a language that must hold a term, the scale of the shares, and the terms reported for each group.
 LEAST_DOCS, SCALE, TOP = 3, 1_000_000_000, 200
 #: Sources of a language on one side of an accumulator, postings of a part of the index, and rows of the index at a time.
-PEERS, PART, CHUNK = 256, 1 << 20, 1 << 16
+PEERS, PART, CHUNK = 256, 1 << 16, 1 << 16
 #: Entries of a task's table of counts, and bytes of a text that are split at a time.
 HELD, PIECE = 200_000, 1 << 22
 
