@@ -1,10 +1,11 @@
 """Whitening of embeddings by Golub-Kahan-Lanczos bidiagonalisation of the centred vectors.
 
-Each step multiplies the centred rows X by a vector v of their space (u = Xv) and their transpose by the result (Xᵀu).
-Both products are made in one pass, as a row needs only its own entry of u. Vectors u are as long as the table, so they are
-never stored: each is X times a short vector y, and a row gives its entries again for the inner products by which u is
-reorthogonalised against all earlier ones. The driver holds short vectors only. The bidiagonal matrix of both norms has the
-singular values of X, from which come the components and their deviations.
+Each step multiplies the centred rows X by a block of vectors of their space (U = XV) and their transpose by the result
+(XᵀU). Both products are made in one pass, as a row needs only its own entries of U. Vectors of U are as long as the table,
+so they are never stored: each is X times a short vector y, and a row gives its entries again for the inner products by
+which U is made orthonormal and reorthogonalised against all earlier blocks. The driver holds short vectors only. The
+(block) bidiagonal matrix of the coefficients has the singular values of X, from which come the components and their
+deviations. Blocks need fewer passes than single vectors, and find equal singular values.
 """
 
 from __future__ import annotations
@@ -18,6 +19,8 @@ from postlens.llm.common import keep, table
 
 #: Components that are returned, steps of a vector entry to one, and the seed of the first vector.
 COMPONENTS, GRID, SEED = 4, 256, 13
+#: Vectors of a block: with d entries to a vector there are d / BLOCK steps, of one pass each in most cases.
+BLOCK = 8
 #: A norm below this share of the greatest counts as 0: nothing is left in this direction.
 NOTHING = 1e-11
 
@@ -55,54 +58,66 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return values.reshape(len(column), -1) if len(column) else values.reshape(0, 1)
 
 
-def bidiagonalised(rows: DataFrame, mean: np.ndarray, seed: int = SEED) -> tuple[np.ndarray, np.ndarray, float]:
+def bidiagonalised(rows: DataFrame, mean: np.ndarray, seed: int = SEED, block: int = BLOCK) -> tuple[np.ndarray, np.ndarray, float]:
     """(singular values, right singular vectors in columns, sum of all squares) of the centred rows ``x``.
 
-    As many steps as the vectors have entries, so nothing is left out, whatever the spectrum. Where a norm vanishes the
-    next vector is a random one, orthogonal to all before.
+    The steps go on until the vectors span their space, so nothing is left out, whatever the spectrum. Where nothing is
+    left in a direction the next vector is a random one, orthogonal to all before.
     """
     dims = len(mean)
     rng = np.random.default_rng([seed, dims])
-    right, back = np.zeros((dims, dims)), np.zeros((dims, dims))  # columns v, and the y of each u
-    through = np.zeros((dims, dims))  # columns Xᵀu
-    matrix, squares, greatest = np.zeros((dims, dims)), 0.0, 0.0
-
-    def fresh(k):
-        v = rng.standard_normal(dims)
-        for _ in range(3):
-            v -= right[:, :k] @ (right[:, :k].T @ v)
-        return v / np.linalg.norm(v)
-
-    right[:, 0] = fresh(0)
-    for k in range(dims):
-        y = right[:, k] - (matrix[k - 1, k] * back[:, k - 1] if k else 0)
-        earlier = back[:, :k].copy()
-        for _ in range(3):
+    right, back, through = (np.zeros((dims, dims)) for _ in range(3))  # columns v, the y of each u, Xᵀu
+    matrix, squares = np.zeros((dims, dims)), 0.0
+
+    def orthonormal(found, done, width):
+        """``width`` columns that are orthonormal, also to the first ``done`` v: those found, filled up with random ones."""
+        axes, size, _ = np.linalg.svd(found, full_matrices=False)
+        out = axes[:, size > NOTHING * np.sqrt(squares)]
+        for scale in (None, *[1.0] * 3):
+            if scale:
+                out = np.hstack((out, rng.standard_normal((dims, width - out.shape[1]))))
+            for _ in range(2):
+                out, _ = np.linalg.qr(out - right[:, :done] @ (right[:, :done].T @ out))
+            if out.shape[1] == width:
+                return out
+        raise ArithmeticError("no further direction")
+
+    right[:, :block] = orthonormal(np.zeros((dims, 1)), 0, min(block, dims))
+    for start in range(0, dims, block):
+        now, before = slice(start, min(start + block, dims)), slice(0, start)
+        earlier, passed = back[:, before].copy(), through[:, before]
+        y = right[:, now] - earlier @ matrix[before, now]
+        upper = np.eye(y.shape[1])  # the block of XV is U times this
+        for again in range(4):
 
             def add(x, y=y):
                 x = x - mean
                 u = x @ y
-                return np.concatenate((x.T @ u, (x @ earlier).T @ u, [u @ u, np.einsum("ij,ij", x, x)]))
-
-            sums = summed(rows, dims + k + 2, add)
-            product, inner, norm, squares = sums[:dims], sums[dims : dims + k], sums[-2], sums[-1]
-            y, product = y - earlier @ inner, product - through[:, :k] @ inner
-            if np.linalg.norm(inner) <= 1e-10 * np.sqrt(norm):
+                return np.concatenate(((x.T @ u).ravel(), ((x @ earlier).T @ u).ravel(), (u.T @ u).ravel(), [np.einsum("ij,ij", x, x)]))
+
+            width = y.shape[1]
+            cuts = np.cumsum([dims * width, start * width, width * width])
+            product, inner, gram, squares = np.split(summed(rows, int(cuts[-1]) + 1, add), cuts)
+            product, inner, gram, squares = product.reshape(dims, width), inner.reshape(start, width), gram.reshape(width, width), float(squares[0])
+            y, product, rest = y - earlier @ inner, product - passed @ inner, gram - inner.T @ inner
+            value, turn = np.linalg.eigh(rest)
+            root = np.sqrt(np.maximum(value, 0))
+            live = root > (1e-3 if again else NOTHING * np.sqrt(squares))
+            root, turn = root[live], turn[:, live]
+            y, product, upper = y @ turn / root, product @ turn / root, (root[:, None] * turn.T) @ upper
+            if not len(root) or np.linalg.norm(inner) <= 1e-9 * np.sqrt(np.trace(gram)) and root[0] > 1e-3 * root[-1]:
                 break  # else once more: so much was taken off that the rest has to be made orthogonal again
-        norm = np.sqrt(max(norm - inner @ inner, 0.0))
-        greatest = max(greatest, norm)
-        if norm > NOTHING * max(greatest, np.sqrt(squares / dims)):
-            matrix[k, k], back[:, k], through[:, k] = norm, y / norm, product / norm
-        if k + 1 == dims:
+        width = len(root)
+        at = slice(start, start + width)
+        matrix[at, now], back[:, at], through[:, at] = upper, y, product
+        if now.stop == dims:
             break
-        v = through[:, k] - matrix[k, k] * right[:, k]
+        after = slice(now.stop, min(now.stop + block, dims))
+        left = through[:, now] - right[:, now] @ matrix[now, now].T
         for _ in range(2):
-            v -= right[:, : k + 1] @ (right[:, : k + 1].T @ v)
-        norm = np.linalg.norm(v)
-        if norm > NOTHING * greatest:
-            matrix[k, k + 1], right[:, k + 1] = norm, v / norm
-        else:
-            right[:, k + 1] = fresh(k + 1)
+            left -= right[:, : now.stop] @ (right[:, : now.stop].T @ left)
+        right[:, after] = orthonormal(left, now.stop, after.stop - after.start)
+        matrix[now, after] = left.T @ right[:, after]
     _, values, turned = np.linalg.svd(matrix)
     return values, right @ turned.T, squares
 
