@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from postlens.session import kept
+
 SEED = 42
 TRAIN_PERCENT = 80
 # Leading hex digits of the hash that make a histogram bucket: 65,536 buckets per label.
@@ -28,27 +30,23 @@ def add_split(posts: DataFrame, id_col: str = "id", seed: int = SEED, percent: i
 def stratum_cuts(posts: DataFrame, label_col: str, id_col: str, seed: int = SEED, test_share: float = 0.2) -> DataFrame:
     """For each label the (hash, id) of its last test row: that of rank floor(share * rows) in hash order.
 
-    One pass over the posts collects each label's hashes in buckets by their leading digits. The sizes of the buckets
-    tell which one holds the rank, and only this one, one in 65,536 of the label, is sorted. So a label that holds most
-    of the rows is never in one task.
+    Hashes and ids are written once. A histogram of counts, 65,536 buckets for each label, tells which bucket holds the
+    rank; only the rows of this one are read again, ordered and numbered. So no task sees more of a label than counts
+    and one bucket, also if most rows have the same label.
     """
-    hashed = posts.select(F.col(label_col).alias("_label"), split_hash(id_col, seed).alias("_hash"), F.col(id_col).alias("_id"))
-    buckets = hashed.groupBy("_label", F.substring("_hash", 1, BUCKET_DIGITS).alias("_bucket")).agg(
-        F.collect_list(F.struct("_hash", "_id")).alias("_rows")
-    )
+    hashed = kept(posts.select(F.col(label_col).alias("_label"), split_hash(id_col, seed).alias("_hash"), F.col(id_col).alias("_id")), "strata")
+    hashed = hashed.withColumn("_bucket", F.substring("_hash", 1, BUCKET_DIGITS))
+    sizes = hashed.groupBy("_label", "_bucket").agg(F.count(F.lit(1)).alias("_n"))
     by_label = Window.partitionBy("_label")
-    running = by_label.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    n = F.size("_rows").cast("bigint")
-    placed = buckets.select(
-        "_label",
-        "_rows",
-        (F.sum(n).over(running) - n).alias("_before"),
-        F.sum(n).over(running).alias("_upto"),
-        F.floor(F.sum(n).over(by_label) * F.lit(test_share)).alias("_wanted"),
-    )
-    cut_buckets = placed.filter((F.col("_before") < F.col("_wanted")) & (F.col("_wanted") <= F.col("_upto")))
-    last = cut_buckets.select("_label", F.element_at(F.array_sort("_rows"), (F.col("_wanted") - F.col("_before")).cast("int")).alias("_cut"))
-    return last.select("_label", F.col("_cut._hash").alias("_cut_hash"), F.col("_cut._id").alias("_cut_id"))
+    upto = F.sum("_n").over(by_label.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    wanted = F.floor(F.sum("_n").over(by_label) * F.lit(test_share))
+    placed = sizes.select("_label", "_bucket", "_n", upto.alias("_upto"), wanted.alias("_wanted"))
+    cut = placed.filter((F.col("_upto") - F.col("_n") < F.col("_wanted")) & (F.col("_wanted") <= F.col("_upto")))
+    cut = cut.select("_label", "_bucket", (F.col("_wanted") - F.col("_upto") + F.col("_n")).alias("_rank"))  # one row for each label
+    inside = hashed.join(cut, ["_label", "_bucket"])
+    number = F.row_number().over(Window.partitionBy("_label", "_bucket").orderBy("_hash", "_id"))
+    last = inside.withColumn("_number", number).filter(F.col("_number") == F.col("_rank"))
+    return last.select("_label", F.col("_hash").alias("_cut_hash"), F.col("_id").alias("_cut_id"))
 
 
 def add_stratified_split(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 
@@ -42,3 +42,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     if not base:
         raise RuntimeError(f"set {CHECKPOINT_KEY} to a folder that all executors share")
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def kept(frame: DataFrame, name: str) -> DataFrame:
+    """Write a frame once to the shared folder and read it from there: later steps share it, and a lost executor costs no
+    recomputation."""
+    path = scratch_path(frame.sparkSession, name)
+    frame.write.parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)
