@@ -49,24 +49,41 @@ def is_blank(text: Column) -> Column:
     return ~F.coalesce(text, F.lit("")).rlike(NOT_SPACE)
 
 
-def contains_any(text: Column, keywords: Iterable[str], whole_word: bool = False) -> Column:
-    """True where the text holds one of the keywords, as a substring or as a whole word."""
+def is_plain(keyword: str) -> bool:
+    """Whether a keyword can be looked for in a text whose white space is as it came: no word of it is empty."""
+    return all(keyword.split(" ")) and not re.search(r"[^\S ]", keyword)
+
+
+def holds(lowered: Column, keyword: str) -> Column:
+    """True where a text holds a plain keyword, any white space for each blank of it."""
+    words = keyword.split(" ")
+    if len(words) == 1:
+        return lowered.contains(keyword)
+    # the regular expression runs only where the longest word was found
+    pattern = COLLAPSE.join(re.escape(w) for w in words).replace("(?U)", "")
+    return lowered.contains(max(words, key=len)) & lowered.rlike("(?U)" + pattern)
+
+
+def contains_any(text: Column, keywords: Iterable[str], whole_word: bool = False, any_space: bool = False) -> Column:
+    """True where the text holds one of the keywords, as a substring or as a whole word; with ``any_space`` a blank of a
+    plain keyword stands for any white space."""
     found = F.lit(False)
     for keyword in keywords:
         if whole_word:
             found = found | text.rlike(rf"(?U)(?<!\w){re.escape(keyword)}(?!\w)")
         else:
-            found = found | text.contains(keyword)
+            found = found | (holds(text, keyword) if any_space and is_plain(keyword) else text.contains(keyword))
     return found
 
 
-def rule_label(normalized: Column, rules: LabelRules, whole_word: bool = False) -> Column:
-    """The label of the first rule that hits, else the fallback label, else the default."""
+def rule_label(normalized: Column, rules: LabelRules, whole_word: bool = False, any_space: bool = False) -> Column:
+    """The label of the first rule that hits, else the fallback label, else the default. With ``any_space`` the text need
+    not have its white space collapsed, only its letters in lower case."""
     chain = F.when(normalized == "", rules.default)
     for label, keywords in rules.rules:
-        chain = chain.when(contains_any(normalized, keywords, whole_word), label)
+        chain = chain.when(contains_any(normalized, keywords, whole_word, any_space), label)
     if rules.fallback:
-        chain = chain.when(contains_any(normalized, rules.fallback, whole_word), rules.fallback_label)
+        chain = chain.when(contains_any(normalized, rules.fallback, whole_word, any_space), rules.fallback_label)
     return chain.otherwise(rules.default)
 
 

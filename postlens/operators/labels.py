@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from postlens.functions.text import normalize_text, rule_label
+from postlens.functions.text import is_plain, normalize_text, rule_label
 from postlens.params import TOPIC_RULES, LabelRules
 
 
@@ -14,10 +14,14 @@ def add_weak_labels(
 ) -> DataFrame:
     """Label each post by the first rule one of whose keywords its text holds.
 
-    The text is normalised once, in a projection of its own, and then tested by every rule.
+    The text is lower-cased once, in a projection of its own, and then tested by every rule. White space is collapsed
+    for keywords that hold a blank only, where their longest word occurs; and in the text for whole words or odd keywords.
     """
-    normalized = posts.withColumn("_normalized", normalize_text(F.col(text_col)))
-    return normalized.withColumn(label_col, rule_label(F.col("_normalized"), rules, whole_word)).drop("_normalized")
+    keywords = [w for _, words in rules.rules for w in words] + list(rules.fallback)
+    simple = not whole_word and all(map(is_plain, keywords))
+    prepared = F.lower(F.coalesce(F.col(text_col), F.lit(""))) if simple else normalize_text(F.col(text_col))
+    normalized = posts.withColumn("_normalized", prepared)
+    return normalized.withColumn(label_col, rule_label(F.col("_normalized"), rules, whole_word, simple)).drop("_normalized")
 
 
 def trainable(posts: DataFrame, text_col: str = "text", label_col: str = "weak_label", other: str = TOPIC_RULES.default) -> DataFrame:

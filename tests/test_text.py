@@ -135,3 +135,21 @@ def test_masked_text_loses_its_keywords(spark):
 @pytest.mark.parametrize("v, blank", [("", True), (f" {NBSP}\t\n", True), (None, True), (" a", False)])
 def test_blank_text(spark, v, blank):
     assert one(spark, t.is_blank(F.col("v")), v=v) is blank
+
+
+@pytest.mark.parametrize("whole_word", [False, True])
+def test_labels_are_those_of_the_collapsed_text(spark, whole_word):
+    """Keywords with blanks are found across any white space, and odd keywords as before."""
+    texts = [None, "", " \t", "Climate\u00a0 \n change", "climate", "climatechange", "the sea\x1flevel rose", " storm", "a  b", "Storms", "x\ty"]
+    frame = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "id BIGINT, text STRING")
+    for rules in (
+        LabelRules((("first", ("climate change", "x y")), ("second", ("sea level",))), ("storm",)),
+        LabelRules((("odd", ("a  b", " storm")),), ("b ",)),
+        LabelRules((("tab", ("x\ty",)), ("plain", ("storm",)))),
+    ):
+        got = {r["id"]: r["weak_label"] for r in add_weak_labels(frame, rules, whole_word=whole_word).collect()}
+        for k, value in enumerate(texts):
+            plain = " ".join((value or "").lower().replace("\x1f", " ").split())
+            hit = lambda w: re.search(rf"(?<!\w){re.escape(w)}(?!\w)" if whole_word else re.escape(w), plain)  # noqa: E731, B023
+            label = next((name for name, words in rules.rules if plain and any(map(hit, words))), None)
+            assert got[k] == (label or ("general" if plain and any(map(hit, rules.fallback)) else "other")), (k, rules)
