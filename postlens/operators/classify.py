@@ -4,15 +4,16 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import IndexToString, SQLTransformer, StringIndexerModel
+from pyspark.ml.feature import IDF, IndexToString, SQLTransformer, StringIndexerModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from postlens.operators.evaluate import classification_metrics
-from postlens.operators.features import gram_features, hashed_stages
+from postlens.operators.features import gram_counting, gram_weighting, hashed_stages, word_stage
 from postlens.operators.labels import trainable
+from postlens.session import kept
 
 PREDICTED = "ml_predicted_label"
 GIVEN_TEXT = "_given_text"
@@ -45,10 +46,20 @@ def train(
 
     The label indexer sees training labels only and is not part of the model, so no class stands for unseen labels and
     every post gets a real label. The labelling keywords are part of the text, so the accuracy is optimistic.
+
+    The texts are read once: a table of label, side and term counts is written to the shared folder (with ``grams`` one of
+    the words before it, from which the vocabulary is made), and weights, fit and metrics read that.
     """
     labeled = trainable(posts, text_col, label_col, other)
+    if features == "hashed":
+        counting = hashed_stages(text_col)[:2]
+        rows = kept(PipelineModel(counting).transform(labeled).select(label_col, split_col, "raw_features"), "training-rows")
+    elif features == "grams":
+        rows = kept(word_stage(text_col).transform(labeled).select(label_col, split_col, "words"), "training-words")
+    else:
+        raise ValueError(f"unknown features: {features}")
     # One pass gives the sizes of both sides and the label order; there are as many rows as labels.
-    by_label = labeled.groupBy(label_col).agg(
+    by_label = rows.groupBy(label_col).agg(
         F.count_if(F.col(split_col) == "train").alias("train_rows"), F.count_if(F.col(split_col) == "test").alias("test_rows")
     ).collect()
     train_rows, test_rows = (sum(row[side] for row in by_label) for side in ("train_rows", "test_rows"))
@@ -57,24 +68,23 @@ def train(
     known = sorted((row for row in by_label if row["train_rows"]), key=lambda row: (-row["train_rows"], row[label_col]))
     names = [row[label_col] for row in known]
     indexer = StringIndexerModel.from_labels(names, inputCol=label_col, outputCol="label", handleInvalid="error")
-    fit_rows = labeled.filter(F.col(split_col) == "train")
-    indexed = indexer.transform(fit_rows)
+    fits = F.col(split_col) == "train"
     if features == "hashed":
         learner = LogisticRegression(maxIter=max_iter or 50, regParam=0.01)
-        fitted = Pipeline(stages=[*hashed_stages(text_col), learner]).fit(indexed)
-        stages = list(fitted.stages)
-    elif features == "grams":
-        learner = LogisticRegression(maxIter=max_iter or 1000, regParam=1.0 / train_rows, standardization=False)
-        recipe = gram_features(fit_rows, text_col)
-        stages = [*recipe.stages, learner.fit(recipe.transform(indexed))]
+        weighting = [IDF(inputCol="raw_features", outputCol="features").fit(rows.filter(fits))]
     else:
-        raise ValueError(f"unknown features: {features}")
+        learner = LogisticRegression(maxIter=max_iter or 1000, regParam=1.0 / train_rows, standardization=False)
+        grams = gram_counting(rows.filter(fits))
+        rows = kept(PipelineModel(grams).transform(rows).select(label_col, split_col, "raw_features"), "training-rows")
+        counting, weighting = [word_stage(text_col), *grams], gram_weighting(rows.filter(fits))
+    weighted = PipelineModel(weighting).transform(rows)
+    fitted = learner.fit(indexer.transform(weighted.filter(fits)).select("label", "features"))
     decoder = IndexToString(inputCol="prediction", outputCol=PREDICTED, labels=names)
     # A null text counts as empty when the model is applied; the marker is gone again before the text is.
     filler = SQLTransformer(statement=f"SELECT * EXCEPT ({text_col}), {text_col} AS {GIVEN_TEXT}, coalesce({text_col}, '') AS {text_col} FROM __THIS__")
     restore = SQLTransformer(statement=f"SELECT * EXCEPT ({text_col}, {GIVEN_TEXT}), {GIVEN_TEXT} AS {text_col} FROM __THIS__")
-    model = PipelineModel([filler, *stages, decoder, restore])
-    tested = apply_model(model, labeled.filter(F.col(split_col) == "test"))
+    model = PipelineModel([filler, *counting, *weighting, fitted, decoder, restore])
+    tested = PipelineModel([fitted, decoder]).transform(weighted.filter(F.col(split_col) == "test"))
     scores = classification_metrics(tested, label_col).first()
     metrics = {
         "f1": scores["f1"],

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -22,6 +22,34 @@ def distribution(frame: DataFrame, keys: str | Sequence[str], count_col: str = "
     return counted.orderBy(F.desc(count_col), *keys)
 
 
+def grouped_counts(
+    frame: DataFrame, reports: Mapping[str, Sequence[str]], count_col: str = "count", max_of: str | None = None
+) -> DataFrame:
+    """Rows per group for several reports from one scan: ``report``, all key columns, the count, and the greatest ``max_of``.
+
+    ``reports`` names the keys of each report; two reports can't have the same keys. Columns that are no key of a report
+    are null in its rows; a null key is a group of its own. Spark expands a row once for each report and counts within
+    the task before the shuffle.
+    """
+    keys = list(dict.fromkeys(c for columns in reports.values() for c in columns))
+    if len({frozenset(columns) for columns in reports.values()}) < len(reports):
+        raise ValueError("two reports have the same keys")
+    # grouping_id has a bit for each key, the first one highest, that is set if the key is not part of the group
+    marks = {name: sum(1 << (len(keys) - 1 - i) for i, c in enumerate(keys) if c not in columns) for name, columns in reports.items()}
+    aggregates = [F.count(F.lit(1)).alias(count_col), *([F.max(max_of).alias(f"max_{max_of}")] if max_of else [])]
+    grouped = frame.groupingSets([[F.col(c) for c in columns] for columns in reports.values()], *keys).agg(
+        F.grouping_id().alias("_mark"), *aggregates
+    )
+    names = F.create_map(*[F.lit(x) for name, mark in marks.items() for x in (mark, name)])
+    return grouped.select(F.element_at(names, F.col("_mark").cast("int")).alias("report"), *keys, *grouped.columns[-len(aggregates):])
+
+
+def report_of(grouped: DataFrame, name: str, keys: Sequence[str], k: int | None = None, count_col: str = "count") -> DataFrame:
+    """One report of ``grouped_counts``, largest first; equal counts are ordered by the keys."""
+    rows = grouped.filter(F.col("report") == name).select(*keys, count_col).orderBy(F.desc(count_col), *keys)
+    return rows.limit(k) if k else rows
+
+
 def top_scores(frame: DataFrame, k: int = 20, author_col: str = "author", score_col: str = "score") -> DataFrame:
     """Highest score and number of posts per author, the k highest scores first."""
     return (
@@ -67,6 +95,34 @@ def extreme_posts(
     return frame.select(*columns).orderBy(order, F.asc(id_col)).limit(k)
 
 
+#: The reports of the post job by the role of their keys, and how many groups each lists.
+REPORTS = {
+    "top_authors": (("author",), 10),
+    "community_counts": (("community",), 15),
+    "post_type_counts": (("type",), None),
+    "sentiment_distribution": (("sentiment",), None),
+    "emotion_distribution": (("emotion",), None),
+    "ml_distribution": (("predicted",), None),
+    "ml_confusion_summary": (("label", "predicted"), None),
+}
+
+
+def report_keys(columns: Sequence[str], roles: Mapping[str, str]) -> dict[str, list[str]]:
+    """The key columns of each report whose columns are there; ``roles`` names the column of each role."""
+    named = {name: [roles[r] for r in keys] for name, (keys, _) in REPORTS.items() if all(r in roles for r in keys)}
+    return {name: keys for name, keys in named.items() if all(c in columns for c in keys)}
+
+
+def grouped_reports(grouped: DataFrame, keys: Mapping[str, Sequence[str]], score_col: str | None = None) -> dict[str, DataFrame]:
+    """The reports of ``grouped_counts`` by name, with the highest scores by author if there are scores."""
+    reports = {name: report_of(grouped, name, columns, REPORTS[name][1]) for name, columns in keys.items()}
+    if score_col and "top_authors" in keys:
+        (author,) = keys["top_authors"]
+        rows = grouped.filter("report = 'top_authors'").select(author, F.col(f"max_{score_col}").alias("max_score"), F.col("count").alias("post_count"))
+        reports["top_scores_by_author"] = rows.orderBy(F.desc("max_score"), author).limit(20)
+    return reports
+
+
 def descriptive_reports(
     posts: DataFrame,
     keywords: Sequence[str],

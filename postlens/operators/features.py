@@ -63,31 +63,52 @@ def tfidf_terms(posts: DataFrame, id_col: str = "id", text_col: str = "text") ->
 
 def gram_counts(posts: DataFrame, text_col: str = "text") -> DataFrame:
     """Occurrences of each word and each pair of neighbouring words in all posts."""
-    tokens = posts.select(gram_tokens(F.col(text_col)).alias("_tokens"))
-    grams = tokens.select(F.concat("_tokens", bigrams(F.col("_tokens"))).alias("_grams"))
+    return gram_counts_of(posts.select(gram_tokens(F.col(text_col)).alias("words")))
+
+
+def gram_counts_of(tokens: DataFrame, words_col: str = "words") -> DataFrame:
+    """The same for lists of words."""
+    grams = tokens.select(F.concat(words_col, bigrams(F.col(words_col))).alias("_grams"))
     rows = grams.select(F.explode_outer("_grams").alias("term")).filter(F.col("term").isNotNull())
     return rows.groupBy("term").agg(F.count(F.lit(1)).alias("count"))
 
 
 def gram_vocabulary(posts: DataFrame, text_col: str = "text", size: int = GRAM_SIZE) -> DataFrame:
     """The most frequent words and pairs; equal counts are ordered by term."""
-    return gram_counts(posts, text_col).orderBy(F.desc("count"), "term").limit(size)
+    return most_frequent(gram_counts(posts, text_col), size)
+
+
+def most_frequent(counted: DataFrame, size: int = GRAM_SIZE) -> DataFrame:
+    return counted.orderBy(F.desc("count"), "term").limit(size)
 
 
 def gram_features(train: DataFrame, text_col: str = "text", features_col: str = "features", size: int = GRAM_SIZE) -> PipelineModel:
     """Fitted 1- and 2-gram features: counts over the vocabulary, weighted by ln((n + 1) / (df + 1)) + 1, unit length."""
-    vocabulary = [row["term"] for row in gram_vocabulary(train, text_col, size).select("term").collect()]
+    splitting = word_stage(text_col)
+    words = splitting.transform(train)
+    counting = gram_counting(words, size)
+    return PipelineModel([splitting, *counting, *gram_weighting(PipelineModel(counting).transform(words), features_col)])
+
+
+def word_stage(text_col: str = "text") -> RegexTokenizer:
+    return RegexTokenizer(inputCol=text_col, outputCol="words", pattern=GRAM_TOKEN, gaps=False, toLowercase=True)
+
+
+def gram_counting(words: DataFrame, size: int = GRAM_SIZE) -> list:
+    """Stages that count the most frequent words and pairs of the column ``words``."""
+    vocabulary = [row["term"] for row in most_frequent(gram_counts_of(words), size).select("term").collect()]
     if not vocabulary:
         raise ValueError("no words to build a vocabulary from")
-    counting = [
-        RegexTokenizer(inputCol=text_col, outputCol="words", pattern=GRAM_TOKEN, gaps=False, toLowercase=True),
+    return [
         NGram(n=2, inputCol="words", outputCol="pairs"),
         SQLTransformer(statement="SELECT *, concat(words, pairs) AS grams FROM __THIS__"),
         CountVectorizerModel.from_vocabulary(vocabulary, inputCol="grams", outputCol="raw_features"),
     ]
-    counted = PipelineModel(counting).transform(train)
+
+
+def gram_weighting(counted: DataFrame, features_col: str = "features") -> list:
+    """Stages that weight the column ``raw_features`` as its rows ask for."""
     idf = IDF(inputCol="raw_features", outputCol="unused").fit(counted).idf
-    weighting = ElementwiseProduct(
-        scalingVec=Vectors.dense(idf.toArray() + 1.0), inputCol="raw_features", outputCol="weighted_features"
-    )
-    return PipelineModel([*counting, weighting, Normalizer(inputCol="weighted_features", outputCol=features_col, p=2.0)])
+    weights = Vectors.dense(idf.toArray() + 1.0)
+    weighting = ElementwiseProduct(scalingVec=weights, inputCol="raw_features", outputCol="weighted_features")
+    return [weighting, Normalizer(inputCol="weighted_features", outputCol=features_col, p=2.0)]

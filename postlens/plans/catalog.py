@@ -19,11 +19,12 @@ from pyspark.sql import functions as F
 
 from postlens import schemas
 from postlens.functions import records, text
+from postlens.functions.sql import register_functions
 from postlens.operators import classify, counts, emotion, evaluate, features, hydrate, labels, sentiment, splits, statuses
 from postlens.operators.lexicon import affect_table, valence_table
 from postlens.params import LabelRules, SentimentRules
 from postlens.plans import hydration
-from postlens.plans.post_analytics import PostParams, enrich
+from postlens.plans.post_analytics import PostParams, enrich, report_roles
 from postlens.session import scratch_path
 from postlens.sources import readers, sinks
 from postlens.streaming import capture
@@ -105,6 +106,38 @@ def posts(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def post_reports(spark: SparkSession, sf: str) -> DataFrame:
+    """All counts of the post job but those of the model, from one scan: report, keys, number of posts, highest score."""
+    rows = labels.add_weak_labels(typed_posts(spark, sf), RULES)
+    rows = rows.withColumn("sentiment_label", sentiment.sentiment_label(F.length("text") % 7 - 3.0)).withColumn("ml_predicted_label", F.col("subreddit"))
+    keys = counts.report_keys(rows.columns, report_roles(PARAMS))
+    grouped = counts.grouped_counts(rows, keys, max_of="score")
+    shown = F.create_map(*[x for name, columns in keys.items() for x in (F.lit(name), F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in columns]))])
+    return grouped.select("report", F.element_at(shown, F.col("report")).alias("keys"), "count", "max_score")
+
+
+def sql_functions(spark: SparkSession, sf: str) -> DataFrame:
+    """Labels and sentiment by functions of the engine in one SQL text on a view."""
+    register_functions(spark, RULES)
+    readers.register_views({"all_posts": typed_posts(spark, sf)})
+    return spark.sql(
+        "SELECT id, weak_label(text) AS weak_label, sentiment_label(score / 5000 - 1.0D) AS sentiment_label, "
+        "length(normalized_text(text)) AS normalized_length, is_set(CAST(is_self AS STRING)) AS is_self FROM all_posts"
+    )
+
+
+def ml_single_words(spark: SparkSession, sf: str) -> DataFrame:
+    """Predictions for posts of one word each, whose best label is known: the one that most training rows of the word have.
+
+    The word is the last digit of the id. One post in ten has the other label, so no word is pure.
+    """
+    word = F.col("id") % 10
+    label = F.when((word < 5) != (F.floor(F.col("id") / 10) % 10 == 3), "low").otherwise("high")
+    rows = posts(spark, sf).select("id", F.concat(F.lit("word"), word.cast("string")).alias("text"), label.alias("weak_label"))
+    split = splits.add_split(rows)
+    return classify.apply_model(classify.train(split).model, split).select("id", "weak_label", "split", classify.PREDICTED)
+
+
 def first_line(value: Column) -> Column:
     return F.substring_index(value, "\n", 1)
 
@@ -888,6 +921,9 @@ QUERIES: dict[str, Query] = {
     "first_rows": first_rows,
     # features and classification
     "label_index": label_index,
+    "post_reports": post_reports,
+    "sql_functions": sql_functions,
+    "ml_single_words": ml_single_words,
     "split_hash": split_hash,
     "split_stratified": split_stratified,
     "tfidf_terms": tfidf_terms,

@@ -380,6 +380,25 @@ ORACLES: dict[str, str] = {
         FROM labels JOIN documents USING (doc_id) WHERE trim(text) <> ''""",
     "label_index": f"""WITH {LABELED} SELECT weak_label, row_number() OVER (ORDER BY count(*) DESC, weak_label) - 1 AS label_index,
         count(*) AS count FROM labeled WHERE weak_label <> 'other' GROUP BY weak_label""",
+    "post_reports": f"""WITH {LABELED}, typed AS (SELECT labeled.*, toxic = 1 AS is_self,
+          CASE WHEN length(text) % 7 - 3 >= 0.05 THEN 'positive' WHEN length(text) % 7 - 3 <= -0.05 THEN 'negative' ELSE 'neutral' END AS sentiment_label
+          FROM labeled LEFT JOIN labels ON doc_id = id),
+        listed AS (
+          SELECT 'top_authors' AS report, author AS keys, score FROM typed
+          UNION ALL SELECT 'community_counts', subreddit, score FROM typed
+          UNION ALL SELECT 'post_type_counts', is_self::VARCHAR, score FROM typed
+          UNION ALL SELECT 'sentiment_distribution', sentiment_label, score FROM typed
+          UNION ALL SELECT 'ml_distribution', subreddit, score FROM typed
+          UNION ALL SELECT 'ml_confusion_summary', weak_label || '|' || coalesce(subreddit, '-'), score FROM typed)
+        SELECT report, coalesce(keys, '-') AS keys, count(*) AS count, max(score) AS max_score FROM listed GROUP BY ALL""",
+    "sql_functions": f"""WITH {LABELED} SELECT id, weak_label, CASE WHEN score / 5000.0 - 1 >= 0.05 THEN 'positive'
+          WHEN score / 5000.0 - 1 <= -0.05 THEN 'negative' ELSE 'neutral' END AS sentiment_label,
+          length(normalized)::INTEGER AS normalized_length, coalesce(toxic = 1, false) AS is_self FROM labeled LEFT JOIN labels ON doc_id = id""",
+    "ml_single_words": f"""WITH {POSTS}, words AS (SELECT id, id % 10 AS word, {SPLIT} AS split,
+          CASE WHEN (id % 10 < 5) <> (id // 10 % 10 = 3) THEN 'low' ELSE 'high' END AS weak_label FROM posts),
+        best AS (SELECT word, CASE WHEN 2 * count(*) FILTER (weak_label = 'low') > count(*) THEN 'low' ELSE 'high' END AS ml_predicted_label
+          FROM words WHERE split = 'train' GROUP BY word)
+        SELECT id, weak_label, split, ml_predicted_label FROM words JOIN best USING (word)""",
     "split_hash": f"WITH {POSTS} SELECT id, {SPLIT} AS split FROM posts",
     "split_stratified": f"""WITH {LABELED} SELECT id, weak_label, CASE WHEN row_number() OVER (PARTITION BY weak_label
         ORDER BY md5('42:' || id), id) <= floor(count(*) OVER (PARTITION BY weak_label) * 0.2::DOUBLE) THEN 'test' ELSE 'train' END AS split

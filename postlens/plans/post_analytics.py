@@ -5,13 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from postlens import params
 from postlens.operators import classify, counts
 from postlens.operators.emotion import fill_emotions
-from postlens.operators.evaluate import confusion_summary
 from postlens.operators.labels import add_weak_labels
 from postlens.operators.lexicon import affect_table, join_scores, valence_table
 from postlens.operators.sentiment import fill_scores, sentiment_and_emotion
@@ -50,20 +49,32 @@ def enrich(posts: DataFrame, valences: DataFrame, affects: DataFrame, p: PostPar
     return add_weak_labels(scored, p.rules, p.text_col)
 
 
+def report_roles(p: PostParams = PostParams()) -> dict[str, str]:
+    """The columns that the reports group by."""
+    return {
+        "author": p.author_col, "community": p.community_col, "type": p.type_col, "sentiment": "sentiment_label",
+        "emotion": "top_emotion", "label": "weak_label", "predicted": "ml_predicted_label",
+    }
+
+
 def nlp_reports(enriched: DataFrame, p: PostParams = PostParams()) -> dict[str, DataFrame]:
     """Distributions of sentiment and emotion, and the most positive and most negative posts."""
+    return {
+        "sentiment_distribution": counts.distribution(enriched, "sentiment_label"),
+        "emotion_distribution": counts.distribution(enriched, "top_emotion"),
+        **extreme_reports(enriched, p),
+    }
+
+
+def extreme_reports(enriched: DataFrame, p: PostParams = PostParams()) -> dict[str, DataFrame]:
+    """The most positive and most negative posts."""
     shown = [c for c in (p.author_col, p.community_col) if c in enriched.columns]
     shown += ["sentiment_label", "top_emotion", "sentiment_compound"]
     columns = [p.id_col, *shown]
-    extreme = {
+    return {
         name: counts.extreme_posts(enriched, "sentiment_compound", p.id_col, columns, highest=highest).select(*shown)
         for name, highest in (("most_positive_posts", True), ("most_negative_posts", False))
     }
-    return {
-        "sentiment_distribution": counts.distribution(enriched, "sentiment_label"),
-        "emotion_distribution": counts.distribution(enriched, "top_emotion"),
-        **extreme,
-    }
 
 
 def with_split(labeled: DataFrame, p: PostParams = PostParams()) -> DataFrame:
@@ -77,20 +88,18 @@ def run_posts(
 ) -> dict:
     """Write all reports, the model and the enriched posts below ``out``; return a short summary.
 
-    The enriched posts are written once as a table, and every later step reads that table: nothing is scored twice,
-    a lost executor costs no recomputation, and each report reads its own columns only.
+    The enriched posts are written once as a table, counted on the way, and every later step reads that table: nothing is
+    scored twice, and a lost executor costs no recomputation. All counts by author, community, type, sentiment, emotion
+    and label come from one scan by grouping sets, written as a small table that the reports read.
     """
     spark = posts.sparkSession
     valences = valences if valences is not None else valence_table(spark, params.SEED_VALENCES)
     affects = affects if affects is not None else affect_table(spark, params.SEED_AFFECTS)
-    enrich(posts, valences, affects, p).write.mode("overwrite").parquet(f"{out}/enriched_table")
+    written = Observation("enriched posts")
+    counted = enrich(posts, valences, affects, p).observe(written, F.count(F.lit(1)).alias("post_count"))
+    counted.write.mode("overwrite").parquet(f"{out}/enriched_table")
     enriched = spark.read.parquet(f"{out}/enriched_table")
 
-    reports = counts.descriptive_reports(
-        enriched, p.keywords, p.author_col, p.community_col, p.score_col, p.type_col, p.text_col
-    )
-    reports.update(nlp_reports(enriched, p))
-
     trained = classify.train(
         with_split(enriched, p), "weak_label", p.text_col, features=p.features, other=p.rules.default,
         min_rows=p.min_rows, max_iter=p.max_iter,
@@ -100,13 +109,17 @@ def run_posts(
     predicted = spark.read.parquet(f"{out}/predicted_table")
     write_rows(predicted.withColumn("emotion_scores", F.to_json("emotion_scores")), f"{out}/enriched_posts")
 
-    reports["ml_distribution"] = counts.distribution(predicted, "ml_predicted_label")
-    reports["ml_confusion_summary"] = confusion_summary(predicted)
+    keys = counts.report_keys(predicted.columns, report_roles(p))
+    score = p.score_col if p.score_col in predicted.columns else None
+    counts.grouped_counts(predicted, keys, max_of=score).write.mode("overwrite").parquet(f"{out}/post_groups")
+    reports = counts.grouped_reports(spark.read.parquet(f"{out}/post_groups"), keys, score)
+    reports["keyword_counts"] = counts.keyword_counts(predicted, p.keywords, p.text_col)
+    reports.update(extreme_reports(predicted, p))
     for name, report in reports.items():
         write_report(report, f"{out}/{name}")
     write_metrics(classify.metrics_frame(posts, trained, model_path=model_path), f"{out}/ml_metrics")
     return {
         "output_dir": out,
-        "post_count": counts.row_count(enriched).first()["post_count"],
+        "post_count": written.get["post_count"],
         "ml_metrics": {**trained.metrics, "model_path": model_path},
     }

@@ -143,3 +143,36 @@ def test_whole_post_job(spark):
     assert {"weak_label", "ml_predicted_label", "sentiment_compound", "top_emotion", "emotion_scores"} <= set(enriched.columns)
     assert enriched.count() == 66 and enriched.select("id").distinct().count() == 66
     assert spark.read.json(f"{out}/ml_metrics").first()["accuracy"] == summary["ml_metrics"]["accuracy"]
+
+
+def test_one_label_for_all_rows_is_cut_by_counts(spark):
+    frame = spark.range(20_000).select(F.col("id").cast("string").alias("id"), F.lit("only").alias("weak_label"))
+    rows = splits.add_stratified_split(frame).collect()
+    digest = lambda i: hashlib.md5(f"42:{i}".encode()).hexdigest()
+    order = sorted((digest(r["id"]), r["id"]) for r in rows)
+    assert {r["id"] for r in rows if r["split"] == "test"} == {i for _, i in order[:4000]}
+
+
+def test_a_fit_on_single_words_is_the_majority(spark):
+    rows = [(f"{w}{k}", w, "up" if (k % 10 < 7) == (w in ("aa", "bb")) else "down") for w in ("aa", "bb", "cc", "dd") for k in range(60)]
+    frame = splits.add_split(spark.createDataFrame(rows, "id STRING, text STRING, weak_label STRING"))
+    for kind in ("hashed", "grams"):
+        trained = classify.train(frame, features=kind)
+        got = classify.apply_model(trained.model, frame).collect()
+        assert {(r["text"], r[classify.PREDICTED]) for r in got} == {("aa", "up"), ("bb", "up"), ("cc", "down"), ("dd", "down")}
+        tested = [r for r in got if r["split"] == "test"]
+        assert trained.metrics["accuracy"] == round(sum(r["weak_label"] == r[classify.PREDICTED] for r in tested) / len(tested), 4)
+
+
+def test_texts_are_read_once_for_training(spark, tmp_path, monkeypatch):
+    rows = [(f"i{k}", f"word{k % 4} and more", f"l{k % 2}") for k in range(80)]
+    spark.createDataFrame(rows, "id STRING, text STRING, weak_label STRING").write.parquet(f"{tmp_path}/posts")
+    read = []
+
+    def recorded(frame, name, write=classify.kept):
+        read.append((name, any("/posts/" in f for f in frame.inputFiles())))
+        return write(frame, name)
+
+    monkeypatch.setattr(classify, "kept", recorded)
+    classify.train(splits.add_split(spark.read.parquet(f"{tmp_path}/posts")), features="grams", max_iter=3)
+    assert read == [("training-words", True), ("training-rows", False)]

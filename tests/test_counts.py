@@ -1,3 +1,5 @@
+import pytest
+
 from postlens.operators import counts
 from postlens.params import STORM_KEYWORDS
 
@@ -34,3 +36,16 @@ def test_reports_of_absent_columns_are_left_out(spark):
     assert set(counts.descriptive_reports(full, STORM_KEYWORDS)) == {
         "top_authors", "community_counts", "top_scores_by_author", "keyword_counts", "post_type_counts",
     }
+
+
+def test_grouped_counts_tell_null_keys_from_other_reports(spark):
+    frame = spark.createDataFrame([("a", None, 1), ("a", "x", 5), (None, "x", None), (None, None, 2)], "author STRING, kind STRING, score INT")
+    reports = {"by_author": ["author"], "by_kind": ["kind"], "both": ["author", "kind"]}
+    got = {tuple(r) for r in counts.grouped_counts(frame, reports, max_of="score").collect()}
+    assert got == {
+        ("by_author", "a", None, 2, 5), ("by_author", None, None, 2, 2), ("by_kind", None, None, 2, 2), ("by_kind", None, "x", 2, 5),
+        ("both", "a", None, 1, 1), ("both", "a", "x", 1, 5), ("both", None, "x", 1, None), ("both", None, None, 1, 2),
+    }
+    assert counts.grouped_counts(frame.limit(0), reports).collect() == []
+    with pytest.raises(ValueError, match="same keys"):
+        counts.grouped_counts(frame, {"a": ["author", "kind"], "b": ["kind", "author"]})

@@ -70,6 +70,22 @@ def test_text_is_read_twice_at_most(spark, sf, explain, key):
     assert sum("text" in columns for columns in found) <= 2
 
 
+def test_no_id_of_a_stratum_meets_in_one_task(spark, sf, explain):
+    plan = explain(catalog.split_stratified(spark, sf))
+    by_label = re.findall(r"\(\d+\) Exchange\nInput \[\d+\]: \[(.*?)\]\nArguments: hashpartitioning\(_label#\d+, \d+\)", plan)
+    assert by_label and not any(re.search(r"_id#|_hash#|collect", columns) for columns in by_label)
+
+
+def test_all_reports_come_from_one_expand(spark, sf, explain):
+    plan = explain(catalog.post_reports(spark, sf))
+    assert plan.count("Location: ") == 2 and len(set(re.findall(r"\(\d+\) Expand", plan))) == 1
+
+
+def test_functions_of_the_engine_become_part_of_the_plan(spark, sf, explain):
+    plan = explain(catalog.sql_functions(spark, sf))
+    assert "contains(" in plan.lower() or "Contains(" in plan
+
+
 def test_no_folder_no_scratch(spark, monkeypatch):
     monkeypatch.setattr("postlens.session.CHECKPOINT_KEY", "spark.not.set")
     monkeypatch.setattr("postlens.session._named", [])
