@@ -15,14 +15,17 @@ from pyspark.ml.feature import (
     Tokenizer,
 )
 from pyspark.ml.linalg import Vectors
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from postlens.functions.text import GRAM_TOKEN, bigrams, gram_tokens, space_words
+from postlens.session import kept
 
 # Sizes of the hashed and of the n-gram feature space.
 HASHED_SIZE = 65_536
 GRAM_SIZE = 4_096
+#: Buckets of the counts that bound those of terms.
+TERM_BUCKETS = 1 << 20
 
 
 def hashed_stages(text_col: str = "text", features_col: str = "features", size: int = HASHED_SIZE) -> list:
@@ -68,14 +71,59 @@ def gram_counts(posts: DataFrame, text_col: str = "text") -> DataFrame:
 
 def gram_counts_of(tokens: DataFrame, words_col: str = "words") -> DataFrame:
     """The same for lists of words."""
+    return occurrences(gram_rows(tokens, words_col))
+
+
+def gram_rows(tokens: DataFrame, words_col: str = "words") -> DataFrame:
+    """One row ``term`` for each word and each pair of neighbouring words."""
     grams = tokens.select(F.concat(words_col, bigrams(F.col(words_col))).alias("_grams"))
-    rows = grams.select(F.explode_outer("_grams").alias("term")).filter(F.col("term").isNotNull())
+    return grams.select(F.explode_outer("_grams").alias("term")).filter(F.col("term").isNotNull())
+
+
+def occurrences(rows: DataFrame) -> DataFrame:
     return rows.groupBy("term").agg(F.count(F.lit(1)).alias("count"))
 
 
-def gram_vocabulary(posts: DataFrame, text_col: str = "text", size: int = GRAM_SIZE) -> DataFrame:
-    """The most frequent words and pairs; equal counts are ordered by term."""
-    return most_frequent(gram_counts(posts, text_col), size)
+def frequent_terms(rows: DataFrame, size: int, buckets: int = TERM_BUCKETS) -> DataFrame:
+    """The ``size`` most frequent values of ``term`` with their exact counts; equal counts are ordered by term.
+
+    Most terms are rare, and only what can still be among the most frequent is counted one by one:
+
+    1. Rows are counted by a hash of their term. A bucket's total bounds the count of each of its terms from above.
+    2. The terms of the largest buckets are counted. The smallest of the ``size`` best counts among them is a bound from
+       below for what the most frequent terms have.
+    3. The terms of all buckets whose total reaches this bound are counted. No other term can be in the result, so it
+       is exact whatever the input; if the bound is low, more terms are counted.
+
+    Step 1 shuffles ``buckets`` short rows for each task at most, the others the few terms that matter.
+    """
+    place = F.pmod(F.xxhash64("term"), F.lit(buckets))
+    totals = kept(rows.groupBy(place.alias("bucket")).agg(F.count(F.lit(1)).alias("n")), "term-buckets")
+    likely = occurrences(in_buckets(rows, totals.orderBy(F.desc("n"), "bucket").limit(2 * size), place, buckets))
+    bound = most_frequent(likely, size).agg(F.count(F.lit(1)).alias("terms"), F.min("count").alias("least")).first()
+    least = bound["least"] if bound["terms"] == size else 0
+    return most_frequent(occurrences(in_buckets(rows, totals.filter(F.col("n") >= least), place, buckets)), size)
+
+
+def in_buckets(rows: DataFrame, chosen: DataFrame, place: Column, buckets: int) -> DataFrame:
+    """The rows whose bucket is a chosen one, by a bitmap of all buckets: one row of ``buckets`` / 8 bytes, no join."""
+    bits = F.expr("shiftleft(1L, cast(bucket % 64 as int))")
+    words = chosen.groupBy(F.floor(F.col("bucket") / 64).alias("word")).agg(F.bit_or(bits).alias("bits"))
+    every = rows.sparkSession.range((buckets + 63) // 64).withColumnRenamed("id", "word").join(words, "word", "left").na.fill(0, ["bits"])
+    bitmap = every.agg(F.sort_array(F.collect_list(F.struct("word", "bits"))).alias("map")).select("map.bits").scalar()
+    return rows.filter(F.getbit(F.element_at(bitmap, (F.floor(place / 64) + 1).cast("int")), place % 64) == 1)
+
+
+def gram_vocabulary(posts: DataFrame, text_col: str = "text", size: int = GRAM_SIZE, bounded: bool = False) -> DataFrame:
+    """The most frequent words and pairs; equal counts are ordered by term.
+
+    ``bounded`` counts by buckets first (see ``frequent_terms``), for texts with far more distinct pairs than can be
+    shuffled; for small tables its further passes take longer than that shuffle.
+    """
+    if not bounded:
+        return most_frequent(gram_counts(posts, text_col), size)
+    words = kept(posts.select(gram_tokens(F.col(text_col)).alias("words")), "vocabulary-words")
+    return frequent_terms(gram_rows(words), size)
 
 
 def most_frequent(counted: DataFrame, size: int = GRAM_SIZE) -> DataFrame:
@@ -96,7 +144,7 @@ def word_stage(text_col: str = "text") -> RegexTokenizer:
 
 def gram_counting(words: DataFrame, size: int = GRAM_SIZE) -> list:
     """Stages that count the most frequent words and pairs of the column ``words``."""
-    vocabulary = [row["term"] for row in most_frequent(gram_counts_of(words), size).select("term").collect()]
+    vocabulary = [row["term"] for row in most_frequent(gram_counts_of(words), size).collect()]
     if not vocabulary:
         raise ValueError("no words to build a vocabulary from")
     return [

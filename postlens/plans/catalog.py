@@ -697,6 +697,11 @@ def ngram_vocab(spark: SparkSession, sf: str) -> DataFrame:
     return features.gram_vocabulary(posts(spark, sf))
 
 
+def ngram_vocab_bounded(spark: SparkSession, sf: str) -> DataFrame:
+    """The same vocabulary without a shuffle of every pair of words."""
+    return features.gram_vocabulary(posts(spark, sf), bounded=True)
+
+
 def ml_hashed_features(spark: SparkSession, sf: str) -> DataFrame:
     """Posts, and the words that the hashed counts of all posts add up to."""
     rows = posts(spark, sf)
@@ -928,6 +933,7 @@ QUERIES: dict[str, Query] = {
     "split_stratified": split_stratified,
     "tfidf_terms": tfidf_terms,
     "ngram_vocab": ngram_vocab,
+    "ngram_vocab_bounded": ngram_vocab_bounded,
     "confusion_summary": confusion_summary,
     "classification_metrics": classification_metrics,
     "ml_hashed_features": ml_hashed_features,

@@ -424,3 +424,5 @@ ORACLES: dict[str, str] = {
     "stream_new_posts": "SELECT DISTINCT conv_id AS id FROM conversations",
 }
 ORACLES["metrics_json"] = ORACLES["classification_metrics"]
+
+ORACLES["ngram_vocab_bounded"] = ORACLES["ngram_vocab"]

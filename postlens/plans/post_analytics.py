@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from postlens import params
@@ -88,16 +88,14 @@ def run_posts(
 ) -> dict:
     """Write all reports, the model and the enriched posts below ``out``; return a short summary.
 
-    The enriched posts are written once as a table, counted on the way, and every later step reads that table: nothing is
+    The enriched posts are written once as a table, and every later step reads that table: nothing is
     scored twice, and a lost executor costs no recomputation. All counts by author, community, type, sentiment, emotion
-    and label come from one scan by grouping sets, written as a small table that the reports read.
+    and label, and their number, come from one scan by grouping sets, written as a small table that the reports read.
     """
     spark = posts.sparkSession
     valences = valences if valences is not None else valence_table(spark, params.SEED_VALENCES)
     affects = affects if affects is not None else affect_table(spark, params.SEED_AFFECTS)
-    written = Observation("enriched posts")
-    counted = enrich(posts, valences, affects, p).observe(written, F.count(F.lit(1)).alias("post_count"))
-    counted.write.mode("overwrite").parquet(f"{out}/enriched_table")
+    enrich(posts, valences, affects, p).write.mode("overwrite").parquet(f"{out}/enriched_table")
     enriched = spark.read.parquet(f"{out}/enriched_table")
 
     trained = classify.train(
@@ -120,6 +118,6 @@ def run_posts(
     write_metrics(classify.metrics_frame(posts, trained, model_path=model_path), f"{out}/ml_metrics")
     return {
         "output_dir": out,
-        "post_count": written.get["post_count"],
+        "post_count": reports["sentiment_distribution"].agg(F.sum("count")).first()[0] or 0,
         "ml_metrics": {**trained.metrics, "model_path": model_path},
     }

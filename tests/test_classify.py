@@ -1,3 +1,4 @@
+import collections
 import hashlib
 import math
 
@@ -176,3 +177,15 @@ def test_texts_are_read_once_for_training(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(classify, "kept", recorded)
     classify.train(splits.add_split(spark.read.parquet(f"{tmp_path}/posts")), features="grams", max_iter=3)
     assert read == [("training-words", True), ("training-rows", False)]
+
+
+@pytest.mark.parametrize("buckets, size", [(1 << 20, 10), (64, 10), (1, 3), (128, 1), (4096, 500)])
+def test_frequent_terms_are_exact(spark, buckets, size):
+    terms = [f"t{int(1000 / (1 + k % 97))}" for k in range(3000)] + [f"rare{k}" for k in range(300)]
+    frame = spark.createDataFrame([(t,) for t in terms], "term STRING").repartition(5)
+    expected = sorted(collections.Counter(terms).items(), key=lambda x: (-x[1], x[0]))[:size]
+    assert [tuple(r) for r in features.frequent_terms(frame, size, buckets).collect()] == expected
+
+
+def test_no_frequent_terms(spark):
+    assert features.frequent_terms(spark.createDataFrame([], "term STRING"), 5).collect() == []
