@@ -266,8 +266,8 @@ class TokenGroupMatrix:
 
 
 def _opened(cell: pd.DataFrame) -> pd.DataFrame:
-    """Links between components that are found by opening groups: the sets of one block of a cell against the other's,
-    or against each other where both are the same."""
+    """Components that are linked, as found by opening groups: the sets of one block of a cell against the other's, or
+    against each other where both are the same."""
     row, col = int(cell["row"].iloc[0]), int(cell["col"].iloc[0])
     queries, members = cell[cell["part"] == row], cell[cell["part"] == col]
     edges: list[tuple[int, int]] = []
@@ -290,19 +290,19 @@ def _opened(cell: pd.DataFrame) -> pd.DataFrame:
                         continue  # this pair is compared once, with the other one asking
                     mine, theirs = find(component), find(parts[i])
                     if mine != theirs and linked(query, sets[i]):
-                        edges.append((q, ids[i]))
+                        edges.append((component, parts[i]))
                         root[max(mine, theirs)] = min(mine, theirs)
     return pd.DataFrame(edges, columns=["a", "b"], dtype="int64")
 
 
-def _open_groups(shared: DataFrame, able: DataFrame, star: DataFrame, tokens: DataFrame, block: int) -> DataFrame:
-    """More edges: sets whose shared tokens reach into other components far enough, against the groups of these tokens.
+def _open_groups(shared: DataFrame, able: DataFrame, parts: DataFrame, tokens: DataFrame, block: int) -> DataFrame:
+    """Edges between components: sets whose shared tokens reach into other components far enough, against the groups of
+    these tokens.
 
     A set can link with another component only if enough of its tokens are in that component's union; the tokens that
     any other component holds are counted, and sets with too few of them are done. The rest form groups anew, and each
     group is worked on in cells of at most two blocks of sets: one block asks, the other is asked.
     """
-    parts = components(star, "ngram-star").select(F.col("node").alias("set"), "component")
     named = able.select("set").join(parts, "set", "left").withColumn("component", F.coalesce("component", "set"))
     own = shared.select("token", "set", "n").join(named, "set")
     mixed = own.groupBy("token").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a < b").select("token")
@@ -371,10 +371,13 @@ def classes(docs: DataFrame, block: int = BLOCK, salts: int = 64) -> DataFrame:
     theirs = tokens.where("leads").select(F.col("set").alias("leader"), F.col("tokens").alias("leader_tokens"))
     pairs = tokens.where("leader is not null").select("set", "tokens", "leader").join(theirs, "leader").select("set", "tokens", "leader", "leader_tokens")
     star = keep(pairs.mapInArrow(_with_leader, "a long, b long"), "ngram-star")
-    more = keep(_open_groups(shared, able, star, tokens, block), "ngram-more")
+    parts = keep(components(star, "ngram-star").select(F.col("node").alias("set"), "component"), "ngram-parts")
+    more = keep(_open_groups(shared, able, parts, tokens, block), "ngram-more")
 
-    parts = components(star.union(more), "ngram").select(F.col("node").alias("set"), "component")
+    # the groups link whole components, so only these are put together; most often there are few
+    merged = components(more, "ngram").select(F.col("node").alias("component"), F.col("component").alias("whole"))
     placed = sets.join(parts, "set", "left").withColumn("component", F.coalesce("component", "set"))
+    placed = placed.join(merged, "component", "left").withColumn("component", F.coalesce("whole", "component")).drop("whole")
     names = placed.groupBy("component").agg(F.min("id").alias("component_id"))
     named = keep(placed.join(names, "component").select("set", "component", "component_id"), "ngram-named")
     some = known.where("n > 0").join(named, "set").select("id", "mark", "n", "component", "component_id")

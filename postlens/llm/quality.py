@@ -140,13 +140,20 @@ def fit(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> Model:
     got = rows.orderBy(F.xxhash64("doc_id"), "doc_id", F.crc32("counts")).limit(size).toPandas()  # SAMPLE rows of 4 KB
     if not len(got):
         return Model(np.ones(TERMS), np.zeros((TERMS, 1)), np.zeros((0, 1), np.float32), np.zeros(0))
-    counts = np.frombuffer(b"".join(got["counts"]), dtype=np.float32).reshape(len(got), TERMS).astype(np.float64)
-    idf = np.log((1 + len(counts)) / (1 + (counts > 0).sum(axis=0))) + 0.3
-    terms = weighted(counts, idf)
-    values, axes = np.linalg.eigh(terms.T @ terms)
-    axes = axes[:, ::-1][:, :DIMENSIONS]
-    model = Model(idf, axes, _unit(terms @ axes).astype(np.float32), got["quality"].to_numpy(np.float64))
-    return model
+    kept = got["counts"].tolist()
+
+    def blocks():  # a few rows at a time as doubles, so that the driver holds little beside the sample itself
+        for at in range(0, len(kept), BLOCK):
+            yield np.frombuffer(b"".join(kept[at : at + BLOCK]), dtype=np.float32).reshape(-1, TERMS).astype(np.float64)
+
+    idf = np.log((1 + len(kept)) / (1 + sum((counts > 0).sum(axis=0) for counts in blocks()))) + 0.3
+    gram = np.zeros((TERMS, TERMS))
+    for counts in blocks():
+        terms = weighted(counts, idf)
+        gram += terms.T @ terms
+    axes = np.linalg.eigh(gram)[1][:, ::-1][:, :DIMENSIONS].copy()
+    vectors = np.concatenate([_unit(weighted(counts, idf) @ axes).astype(np.float32) for counts in blocks()])
+    return Model(idf, axes, vectors, got["quality"].to_numpy(np.float64))
 
 
 def scored(docs: DataFrame, model: Model, key: str = "doc_id") -> DataFrame:
