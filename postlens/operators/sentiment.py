@@ -14,6 +14,7 @@ from string import punctuation
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from postlens.functions.symbols import symbol_words
 from postlens.functions.text import NOT_SPACE, affect_tokens
 from postlens.operators.emotion import affect_aggregates, affect_map, found_affects
 from postlens.operators.lexicon import BROADCAST_ROWS, COPY, Lexicon, affect_flags, join_scores, one_valence, text_key, with_copy
@@ -81,17 +82,18 @@ def rule_sums(
         marked = affect_flags(affect_lexicon, affects).withColumn("token", F.concat(F.lit(AFFECT_MARK), "token"))
         table = table.unionByName(marked, allowMissingColumns=True)
     lookup = Lexicon(with_copy(table), max_rows)
-    words = posts.select(
+    said = posts.select(
         id_col,
         text_key(F.col(text_col)).alias("_text_key"),
-        F.coalesce(F.col(text_col), F.lit("")).alias("_text"),
-        scored_words(F.col(text_col)).alias("_words"),
+        F.coalesce(F.col(text_col), F.lit("")).alias("_own"),
+        symbol_words(F.coalesce(F.col(text_col), F.lit("")), rules.symbols).alias("_text"),
     )
+    words = said.select("*", scored_words(F.col("_text")).alias("_words"))
     # What belongs to the whole post is computed before the explode: beside it, it would be computed per token. The
     # outer explode keeps Spark from inferring a filter on the size of the array, which would build the array twice.
     added = F.array(F.lit(COPY))
     if affect_lexicon is not None:
-        added = F.concat(F.transform(affect_tokens(F.col("_text")), lambda t: F.concat(F.lit(AFFECT_MARK), t)), added)
+        added = F.concat(F.transform(affect_tokens(F.col("_own")), lambda t: F.concat(F.lit(AFFECT_MARK), t)), added)
     prepared = words.select(
         id_col,
         "_text_key",

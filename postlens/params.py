@@ -139,6 +139,8 @@ class SentimentRules:
     least: str = "least"
     least_lead: tuple[str, ...] = ("at", "very")
     not_a_booster: tuple[str, str] = ("kind", "of")
+    #: Words that symbols of one character, such as emoji, are read as.
+    symbols: dict[str, str] = field(default_factory=dict)
 
     booster_weight: float = 0.293
     caps_weight: float = 0.733
