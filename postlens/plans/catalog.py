@@ -6,7 +6,9 @@ in the documents.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from dataclasses import replace
 from functools import partial, reduce
 
 from pyspark.ml import Pipeline
@@ -19,20 +21,25 @@ from pyspark.sql import functions as F
 
 from postlens import schemas
 from postlens.functions import records, text
+from postlens.functions.matcher import rule_label_once
 from postlens.functions.sql import register_functions
-from postlens.operators import classify, counts, emotion, evaluate, features, hydrate, labels, sentiment, splits, statuses
+from postlens.functions.symbols import symbol_words
+from postlens.operators import classify, counts, emotion, evaluate, features, hydrate, labels, sentiment, shapes, splits, statuses
 from postlens.operators.lexicon import affect_table, valence_table
 from postlens.params import LabelRules, SentimentRules
 from postlens.plans import hydration
 from postlens.plans.post_analytics import PostParams, enrich, report_roles
 from postlens.session import scratch_path
-from postlens.sources import readers, sinks
+from postlens.sources import readers, sinks, tail
 from postlens.streaming import capture
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 KEYWORDS = ("license", "apache", "token", "free", "ment", "thing", "nicht", "plus", "zzz")
 RAW_TERMS = ("Apache", "License", "Thing", "The")
+# Three-letter keywords by rule, most of which occur somewhere, and the keywords above: 405 in all.
+MANY_KEYWORDS = (*KEYWORDS, *(a + b + c for a in "bcdfglmnprst" for b in "aeiou" for c in "lmnrst"), *(a + b for a in "lmnrst" for b in "aeiouy"))
+SYMBOLS = {"é": "thing", "%": "is it", "$": "no", "*": "not", "É": "LICENSE"}
 DEVICES = ("click", "error", "purchase", "view")
 RULES = LabelRules(
     rules=(
@@ -448,6 +455,32 @@ def bad_record_counts(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def loose_records(spark: SparkSession, sf: str) -> DataFrame:
+    """Events as JSON lines whose field ``user`` has another type in each type of event; errors are cut off."""
+    user = F.col("user_id").cast("string")
+    kinds = {
+        "click": user,
+        "view": F.concat(F.lit('"'), user, F.lit('"')),
+        "purchase": F.concat(F.lit('{"n":'), user, F.lit("}")),
+        "signup": F.concat(F.lit('["u",'), user, F.lit(",null]")),
+    }
+    shown = reduce(lambda chain, kind: chain.when(F.col("event_type") == kind, kinds[kind]), kinds, F.when(F.lit(False), user))
+    line = F.concat(F.lit('{"user":'), F.coalesce(shown, F.lit("")), F.lit(',"props":'), F.col("props"), F.lit("}"))
+    return table(spark, sf, "events").select("event_id", line.alias("value"))
+
+
+def record_fields(spark: SparkSession, sf: str) -> DataFrame:
+    return shapes.field_kinds(loose_records(spark, sf))
+
+
+def record_typed(spark: SparkSession, sf: str) -> DataFrame:
+    """The user of each record as a number, and whether it has one that is none."""
+    value = F.col("value")
+    return loose_records(spark, sf).select(
+        "event_id", shapes.field(value, "$.user", "bigint").alias("user"), shapes.unfit(value, "$.user", "bigint").alias("is_unfit")
+    )
+
+
 def flag_labels(spark: SparkSession, sf: str) -> DataFrame:
     rows = hydrate.with_flag_labels(table(spark, sf, "labels"), ["quality", "toxic"], "names")
     return rows.select("doc_id", F.array_join("names", ",").alias("names"))
@@ -480,6 +513,10 @@ def keyword_counts_cs(spark: SparkSession, sf: str) -> DataFrame:
     return counts.keyword_counts(posts(spark, sf), RAW_TERMS, case_sensitive=True)
 
 
+def keyword_counts_many(spark: SparkSession, sf: str) -> DataFrame:
+    return counts.many_keyword_counts(posts(spark, sf), MANY_KEYWORDS)
+
+
 def device_counts(spark: SparkSession, sf: str) -> DataFrame:
     lines = table(spark, sf, "events").select(F.to_json(F.struct("event_id", "event_type", "props")).alias("value"))
     return counts.keyword_counts(lines, DEVICES, "value", case_sensitive=True)
@@ -521,6 +558,11 @@ def weak_labels(spark: SparkSession, sf: str) -> DataFrame:
     return labeled(spark, sf).select("id", "weak_label")
 
 
+def weak_labels_once(spark: SparkSession, sf: str) -> DataFrame:
+    """The weak labels from one pass over each text for the keywords of all rules."""
+    return posts(spark, sf).select("id", rule_label_once(F.col("text"), RULES).alias("weak_label"))
+
+
 def weak_label_distribution(spark: SparkSession, sf: str) -> DataFrame:
     return counts.distribution(labeled(spark, sf), "weak_label")
 
@@ -573,6 +615,17 @@ def sentiment_rules(spark: SparkSession, sf: str) -> DataFrame:
     return ruled(spark, sf).select("id", *sentiment.SCORES, "sentiment_label")
 
 
+def symbol_texts(spark: SparkSession, sf: str) -> DataFrame:
+    return posts(spark, sf).select("id", symbol_words(F.col("text"), SYMBOLS).alias("text"))
+
+
+def sentiment_symbols(spark: SparkSession, sf: str) -> DataFrame:
+    """Scores by the rules with symbols that are read as words."""
+    rules = replace(SENTIMENT, symbols=SYMBOLS)
+    scored = sentiment.add_sentiment(posts(spark, sf), valence_table(spark, VALENCES), rules=rules)
+    return scored.select("id", *sentiment.SCORES, "sentiment_label")
+
+
 def sentiment_distribution(spark: SparkSession, sf: str) -> DataFrame:
     return counts.distribution(ruled(spark, sf), "sentiment_label")
 
@@ -673,6 +726,16 @@ def hydrate_append(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.schema("id STRING, information_integrity STRING, Casualty BOOLEAN").json(f"{out}/posts")
 
 
+def hydrate_bucketed(spark: SparkSession, sf: str) -> DataFrame:
+    """The same two runs with the posts in a table that is bucketed by id."""
+    out = scratch_path(spark, "hydrated")
+    name = f"posts_{uuid.uuid4().hex}"
+    wanted, bodies = annotations(spark, sf), submissions(spark, sf)
+    for some in (wanted.filter(F.col("Casualty") == 1), wanted):
+        hydration.run_hydration(some, bodies, out, "forum", "labels", table=name, buckets=8)
+    return spark.table(name).select("id", "information_integrity", "Casualty")
+
+
 # --- features and classification -------------------------------------------------------------------------------------
 
 
@@ -844,6 +907,17 @@ def stream_new_posts_timed(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.schema("id BIGINT").json(f"{out}/posts")
 
 
+def stream_growing(spark: SparkSession, sf: str) -> DataFrame:
+    """Lines of events in files that a stream follows by byte offsets, captured by a tracked term."""
+    out = scratch_path(spark, "growing")
+    table(spark, sf, "events").select(F.to_json(F.struct("event_id", "event_type")).alias("value")).write.text(f"{out}/feed")
+    tail.register_tail(spark)
+    lines = spark.readStream.format(tail.FORMAT).option("pattern", "part-*").load(f"{out}/feed".removeprefix("file:"))
+    capture.start_capture(lines, ["signup"], f"{out}/copies", f"{out}/_checkpoint", available_now=True).awaitTermination()
+    parsed = F.from_json("value", "event_id BIGINT, event_type STRING")
+    return capture.read_captured(spark, f"{out}/copies").select(parsed.alias("r")).select("r.*")
+
+
 STATE = "spark.sql.streaming.stateStore.providerClass"
 
 QUERIES: dict[str, Query] = {
@@ -872,6 +946,8 @@ QUERIES: dict[str, Query] = {
     "status_flatten": status_flatten,
     "bad_record_filter": bad_record_filter,
     "bad_record_counts": bad_record_counts,
+    "record_fields": record_fields,
+    "record_typed": record_typed,
     "created_epoch": created_epoch,
     "flag_labels": flag_labels,
     "trainable_rows": trainable_rows,
@@ -881,6 +957,7 @@ QUERIES: dict[str, Query] = {
     "top_scores_by_author": top_scores_by_author,
     "keyword_counts": keyword_counts,
     "keyword_counts_cs": keyword_counts_cs,
+    "keyword_counts_many": keyword_counts_many,
     "device_counts": device_counts,
     "post_type_counts": post_type_counts,
     "post_count": post_count,
@@ -896,6 +973,7 @@ QUERIES: dict[str, Query] = {
     "user_timezones": from_statuses(statuses.user_time_zones),
     # labels, sentiment, emotion
     "weak_labels": weak_labels,
+    "weak_labels_once": weak_labels_once,
     "weak_label_distribution": weak_label_distribution,
     "masked_labels": masked_labels,
     "sentiment_scores": sentiment_scores,
@@ -903,6 +981,8 @@ QUERIES: dict[str, Query] = {
     "sentiment_repeated_ids": sentiment_repeated_ids,
     "sentiment_large_lexicon": sentiment_large_lexicon,
     "sentiment_rules": sentiment_rules,
+    "symbol_texts": symbol_texts,
+    "sentiment_symbols": sentiment_symbols,
     "sentiment_distribution": sentiment_distribution,
     "most_positive": extreme(True),
     "most_negative": extreme(False),
@@ -923,6 +1003,7 @@ QUERIES: dict[str, Query] = {
     "hydrate_stats": hydrate_stats,
     "hydrate_append": hydrate_append,
     "hydrate_append_repeated": hydrate_repeated,
+    "hydrate_append_bucketed": hydrate_bucketed,
     "first_rows": first_rows,
     # features and classification
     "label_index": label_index,
@@ -948,6 +1029,7 @@ QUERIES: dict[str, Query] = {
     # streams
     "stream_track": stream_track,
     "stream_copies": stream_copies,
+    "stream_growing": stream_growing,
     "stream_new_posts": stream_new_posts,
     "stream_new_posts_timed": stream_new_posts_timed,
 }

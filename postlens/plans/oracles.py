@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 from postlens.params import AFFECTS
-from postlens.plans.catalog import AFFECT_WORDS, DEVICES, KEYWORDS, MASKED, RAW_TERMS, RULES, SENTIMENT, VALENCES
+from postlens.plans.catalog import AFFECT_WORDS, DEVICES, KEYWORDS, MANY_KEYWORDS, MASKED, RAW_TERMS, RULES, SENTIMENT, SYMBOLS, VALENCES
 
 
 def quote(value: str) -> str:
@@ -151,7 +151,7 @@ STEPS = [
 ]
 
 
-def ruled() -> str:
+def ruled(posts: str = POSTS) -> str:
     # Each step uses the former value several times: materialised, so that it is not written out again and again.
     steps = ""
     for number, step in enumerate(STEPS):
@@ -159,7 +159,7 @@ def ruled() -> str:
     lags = ", ".join(f"lag(w0, {k}) OVER w AS b{k}, coalesce(lag(u0, {k}) OVER w, false) AS u{k}" for k in (1, 2, 3))
     leads = ", ".join(f"lead(w0, {k}) OVER w AS a{k}" for k in (1, 2))
     known = "(SELECT token FROM lexicon)"
-    return f"""{POSTS},
+    return f"""{posts},
 lexicon(token, valence) AS (VALUES {VALENCE_ROWS}),
 cut AS (SELECT id, regexp_extract_all(text, '[^\\s]+') AS ws FROM posts),
 raw AS (SELECT id, unnest(ws) AS word, generate_subscripts(ws, 1) - 1 AS i FROM cut),
@@ -198,6 +198,23 @@ ruled AS (SELECT p.id, author, subreddit, score, text,
 RULED = ruled()
 
 
+def spelled() -> str:
+    """The text with one symbol after the other replaced: where a blank or the start stands before it, then elsewhere."""
+    value = "text"
+    for symbol, words in SYMBOLS.items():
+        value = f"replace(regexp_replace({value}, '(^| )[{symbol}]', '\\1{words}', 'g'), {quote(symbol)}, {quote(' ' + words)})"
+    return value
+
+
+SPELLED_POSTS = f"posts AS (SELECT doc_id AS id, source AS author, lang AS subreddit, n_chars AS score, {spelled()} AS text FROM documents)"
+MANY = ", ".join(f"({quote(w)})" for w in dict.fromkeys(MANY_KEYWORDS))
+#: Path, kind and type of event of the fields of the records whose shape changes.
+SHAPES = (
+    ("$.user", "BIGINT", "click"), ("$.user", "STRING", "view"), ("$.user", "OBJECT", "purchase"), ("$.user.n", "BIGINT", "purchase"),
+    ("$.user", "ARRAY", "signup"), ("$.user[]", "STRING", "signup"), ("$.user[]", "BIGINT", "signup"), ("$.user[]", "VOID", "signup"),
+)
+
+
 def emotions(ties: str = "place") -> str:
     order = "n DESC, place, affect" if ties == "place" else "n DESC, rank"
     return f"""affects(token, affect, rank) AS (VALUES {AFFECT_ROWS}),
@@ -330,6 +347,22 @@ ORACLES: dict[str, str] = {
         fc AS ({grouped('followers_count, screen_name', 'english', 50, 'row_count')})
         SELECT DISTINCT nt.screen_name, fc.followers_count FROM nt JOIN fc ON nt.screen_name = fc.screen_name""",
     "user_timezones": f"WITH {STATUSES} SELECT screen_name, time_zone FROM english",
+    "keyword_counts_many": f"""SELECT keyword, count(doc_id) AS count FROM (VALUES {MANY}) k(keyword)
+        LEFT JOIN documents ON contains(lower(text), keyword) GROUP BY keyword""",
+    "weak_labels_once": f"WITH {LABELED} SELECT id, weak_label FROM labeled",
+    "symbol_texts": f"WITH {SPELLED_POSTS} SELECT id, text FROM posts",
+    "sentiment_symbols": f"""WITH {ruled(SPELLED_POSTS)} SELECT id, sentiment_compound, sentiment_pos, sentiment_neu, sentiment_neg,
+        {labeled_as('sentiment_compound')} AS sentiment_label FROM ruled""",
+    "record_fields": f"""WITH shapes(path, kind, event_type) AS (VALUES {', '.join(f"({quote(p)}, {quote(k)}, {quote(e)})" for p, k, e in SHAPES)}),
+        good AS (SELECT * FROM events WHERE event_type IN ('click', 'view', 'purchase', 'signup'))
+        SELECT path, kind, count(*) AS count FROM shapes JOIN good USING (event_type) GROUP BY ALL
+        UNION ALL SELECT path, kind, count(*) FROM good, (VALUES ('$', 'OBJECT'), ('$.props', 'OBJECT'), ('$.props.k', 'BIGINT')) p(path, kind) GROUP BY ALL
+        UNION ALL SELECT '$', 'MALFORMED', count(*) FROM events WHERE event_type NOT IN ('click', 'view', 'purchase', 'signup') HAVING count(*) > 0""",
+    "record_typed": """SELECT event_id, CASE WHEN event_type IN ('click', 'view') THEN user_id END AS "user",
+        event_type IN ('purchase', 'signup') AS is_unfit FROM events""",
+    "hydrate_append_bucketed": """SELECT doc_id::VARCHAR AS id, 'q' || quality AS information_integrity, quality = 1 AS "Casualty"
+        FROM labels JOIN documents USING (doc_id) WHERE trim(text) <> ''""",
+    "stream_growing": "SELECT event_id, event_type FROM events WHERE event_type = 'signup'",
     "weak_labels": f"WITH {LABELED} SELECT id, weak_label FROM labeled",
     "weak_label_distribution": f"WITH {LABELED} SELECT weak_label, count(*) AS count FROM labeled GROUP BY weak_label",
     "masked_labels": f"""WITH masked AS (SELECT trim(regexp_replace(regexp_replace(lower(text), '{'|'.join(MASKED)}', '*', 'g'), '\\s+', ' ', 'g')) AS normalized
