@@ -60,3 +60,19 @@ def test_new_posts_arrive_once(spark):
         stream = capture.file_stream(spark, source, "id BIGINT", "json")
         capture.start_new_posts(stream, f"{out}/posts", f"{out}/check", available_now=True).awaitTermination()
     assert sorted(r["id"] for r in spark.read.schema("id BIGINT").json(f"{out}/posts").collect()) == [1, 2, 3]
+
+
+def test_a_table_is_a_stream_as_a_file_and_as_a_folder(spark, sf):
+    from postlens.plans import catalog
+
+    folder = scratch_path(spark, "tables").removeprefix("file:")
+    turns = spark.read.parquet(f"{sf}/conversations.parquet")
+    turns.repartition(3).write.parquet(f"{folder}/conversations.parquet")
+    turns.limit(5).write.parquet(f"{folder}/conversations.parquet.old")
+    events = spark.read.parquet(f"{sf}/events.parquet")
+    events.repartition(2).write.parquet(f"{folder}/many/events.parquet")
+    expected = sorted(r[0] for r in turns.select("conv_id").distinct().collect())
+    for place in (sf, folder):
+        assert sorted(r["id"] for r in catalog.stream_new_posts(spark, place).collect()) == expected
+    tracked = [sorted(catalog.stream_track(spark, place).collect()) for place in (sf, f"{folder}/many")]
+    assert tracked[0] == tracked[1] and tracked[0]
