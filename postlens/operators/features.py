@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from postlens.functions.text import GRAM_TOKEN, bigrams, gram_tokens, space_words
+from postlens.operators.lexicon import BROADCAST_ROWS, fits_broadcast
 from postlens.session import kept
 
 # Sizes of the hashed and of the n-gram feature space.
@@ -114,14 +115,37 @@ def in_buckets(rows: DataFrame, chosen: DataFrame, place: Column, buckets: int)
     return rows.filter(F.getbit(F.element_at(bitmap, (F.floor(place / 64) + 1).cast("int")), place % 64) == 1)
 
 
+def frequent_grams(tokens: DataFrame, size: int = GRAM_SIZE, words_col: str = "words", most: int = BROADCAST_ROWS) -> DataFrame:
+    """The ``size`` most frequent words and pairs of neighbouring words with their exact counts, ordered by count and term.
+
+    A pair is at most as frequent as each of its words, and ``size`` words alone reach the count of the ``size``-th one. So
+    only words with this count, and pairs of two such words, can be among the most frequent. These few words are
+    broadcast, and the pairs are counted by numbers; no other pair is counted or shuffled. Should more than ``most``
+    words have that count, all pairs are counted.
+    """
+    words = kept(occurrences(tokens.select(F.explode_outer(words_col).alias("term")).filter(F.col("term").isNotNull())), "words")
+    bound = most_frequent(words, size).agg(F.count(F.lit(1)).alias("terms"), F.min("count").alias("least")).first()
+    least = bound["least"] if bound["terms"] == size else 0
+    often = kept(words.filter(F.col("count") >= least).select("term", "count", F.monotonically_increasing_id().alias("number")), "often")
+    if not fits_broadcast(often.withColumnRenamed("term", "token"), most):
+        return most_frequent(gram_counts_of(tokens, words_col), size)
+    first, second = (F.broadcast(often.select(F.col("term").alias(c), F.col("number").alias(f"{c}_number"))) for c in "ab")
+    following = F.concat(F.slice(words_col, 2, F.greatest(F.size(words_col) - 1, F.lit(0))), F.array(F.lit(None).cast("string")))
+    near = tokens.select(F.explode_outer(F.arrays_zip(F.col(words_col).alias("a"), following.alias("b"))).alias("_near")).select("_near.a", "_near.b")
+    numbered = near.filter("b IS NOT NULL").join(first, "a").join(second, "b")
+    counted = numbered.groupBy("a_number", "b_number").agg(F.count(F.lit(1)).alias("count")).filter(F.col("count") >= least)
+    pairs = counted.join(first, "a_number").join(second, "b_number").select(F.concat_ws(" ", "a", "b").alias("term"), "count")
+    return most_frequent(often.select("term", "count").union(pairs), size)
+
+
 def gram_vocabulary(posts: DataFrame, text_col: str = "text", size: int = GRAM_SIZE, bounded: bool = False) -> DataFrame:
     """The most frequent words and pairs; equal counts are ordered by term.
 
-    ``bounded`` counts by buckets first (see ``frequent_terms``), for texts with far more distinct pairs than can be
-    shuffled; for small tables its further passes take longer than that shuffle.
+    Pairs are left out by the counts of their words (see ``frequent_grams``). ``bounded`` counts by buckets instead (see
+    ``frequent_terms``), which also bounds the distinct words that are shuffled.
     """
     if not bounded:
-        return most_frequent(gram_counts(posts, text_col), size)
+        return frequent_grams(posts.select(gram_tokens(F.col(text_col)).alias("words")), size)
     words = kept(posts.select(gram_tokens(F.col(text_col)).alias("words")), "vocabulary-words")
     return frequent_terms(gram_rows(words), size)
 
@@ -144,7 +168,7 @@ def word_stage(text_col: str = "text") -> RegexTokenizer:
 
 def gram_counting(words: DataFrame, size: int = GRAM_SIZE) -> list:
     """Stages that count the most frequent words and pairs of the column ``words``."""
-    vocabulary = [row["term"] for row in most_frequent(gram_counts_of(words), size).collect()]
+    vocabulary = [row["term"] for row in frequent_grams(words, size).collect()]
     if not vocabulary:
         raise ValueError("no words to build a vocabulary from")
     return [

@@ -189,3 +189,15 @@ def test_frequent_terms_are_exact(spark, buckets, size):
 
 def test_no_frequent_terms(spark):
     assert features.frequent_terms(spark.createDataFrame([], "term STRING"), 5).collect() == []
+
+
+@pytest.mark.parametrize("size, most", [(5, 1000), (40, 1000), (5, 2), (10_000, 1000)])
+def test_frequent_grams_count_only_pairs_that_can_be_among_them(spark, monkeypatch, size, most):
+    texts = [" ".join(f"w{int(40 / (1 + (i * 7 + k * k) % 31))}" for k in range(i % 9)) for i in range(300)]
+    expected = collections.Counter(g for t in texts for w in [t.split()] for g in [*w, *(f"{a} {b}" for a, b in zip(w, w[1:]))])
+    best = sorted(expected.items(), key=lambda x: (-x[1], x[0]))[:size]
+    words = spark.createDataFrame([(t.split(),) for t in texts], "words ARRAY<STRING>").repartition(3)
+    plain = []
+    monkeypatch.setattr(features, "gram_counts_of", lambda *a, count=features.gram_counts_of: plain.append(1) or count(*a))
+    got = features.frequent_grams(words, size, most=most)
+    assert [tuple(r) for r in got.collect()] == best and len(plain) == (most == 2)
