@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
@@ -12,21 +13,24 @@ from pyspark.sql import functions as F
 
 from postlens.operators.evaluate import classification_metrics
 from postlens.operators.features import gram_counting, gram_weighting, hashed_stages, word_stage
-from postlens.operators.labels import trainable
+from postlens.operators.labels import is_trainable
 from postlens.session import kept
 
 PREDICTED = "ml_predicted_label"
 GIVEN_TEXT = "_given_text"
+# Marks the rows of a table of term counts that train or test.
+TRAINS = "_trains"
 # Columns the stages add that no caller needs.
 INNER_COLUMNS = ("words", "pairs", "grams", "raw_features", "weighted_features", "features", "rawPrediction", "probability", "prediction")
 
 
 @dataclass(frozen=True)
 class TrainedModel:
-    """A model that turns a text into a label, and its test metrics."""
+    """A model that turns a text into a label, its test metrics, and the predictions of all posts if they were asked for."""
 
     model: PipelineModel
     metrics: dict[str, float | int]
+    predicted: DataFrame | None = None
 
 
 def train(
@@ -38,6 +42,7 @@ def train(
     other: str = "other",
     min_rows: int = 10,
     max_iter: int | None = None,
+    predict: Sequence[str] | None = None,
 ) -> TrainedModel:
     """Fit on the train rows of the labelled posts, measure on their test rows.
 
@@ -49,15 +54,21 @@ def train(
 
     The texts are read once: a table of label, side and term counts is written to the shared folder (with ``grams`` one of
     the words before it, from which the vocabulary is made), and weights, fit and metrics read that.
+
+    With ``predict``, columns of the posts, the table holds the other posts too, and ``predicted`` gives these columns of
+    every post and its label from the table: what ``apply_model`` says, without reading the texts again.
     """
-    labeled = trainable(posts, text_col, label_col, other)
+    columns = list(dict.fromkeys([label_col, split_col, *(predict or ()), TRAINS]))
+    given = posts.withColumn(TRAINS, F.coalesce(is_trainable(text_col, label_col, other), F.lit(False)))
+    given = given.filter(TRAINS) if predict is None else given.withColumn(text_col, F.coalesce(text_col, F.lit("")))
     if features == "hashed":
         counting = hashed_stages(text_col)[:2]
-        rows = kept(PipelineModel(counting).transform(labeled).select(label_col, split_col, "raw_features"), "training-rows")
+        every = kept(PipelineModel(counting).transform(given).select(*columns, "raw_features"), "training-rows")
     elif features == "grams":
-        rows = kept(word_stage(text_col).transform(labeled).select(label_col, split_col, "words"), "training-words")
+        every = kept(word_stage(text_col).transform(given).select(*columns, "words"), "training-words")
     else:
         raise ValueError(f"unknown features: {features}")
+    rows = every.filter(TRAINS)
     # One pass gives the sizes of both sides and the label order; there are as many rows as labels.
     by_label = rows.groupBy(label_col).agg(
         F.count_if(F.col(split_col) == "train").alias("train_rows"), F.count_if(F.col(split_col) == "test").alias("test_rows")
@@ -75,16 +86,18 @@ def train(
     else:
         learner = LogisticRegression(maxIter=max_iter or 1000, regParam=1.0 / train_rows, standardization=False)
         grams = gram_counting(rows.filter(fits))
-        rows = kept(PipelineModel(grams).transform(rows).select(label_col, split_col, "raw_features"), "training-rows")
+        every = kept(PipelineModel(grams).transform(every).select(*columns, "raw_features"), "training-rows")
+        rows = every.filter(TRAINS)
         counting, weighting = [word_stage(text_col), *grams], gram_weighting(rows.filter(fits))
-    weighted = PipelineModel(weighting).transform(rows)
-    fitted = learner.fit(indexer.transform(weighted.filter(fits)).select("label", "features"))
+    weighted = PipelineModel(weighting).transform(every)
+    fitted = learner.fit(indexer.transform(weighted.filter(F.col(TRAINS) & fits)).select("label", "features"))
     decoder = IndexToString(inputCol="prediction", outputCol=PREDICTED, labels=names)
     # A null text counts as empty when the model is applied; the marker is gone again before the text is.
     filler = SQLTransformer(statement=f"SELECT * EXCEPT ({text_col}), {text_col} AS {GIVEN_TEXT}, coalesce({text_col}, '') AS {text_col} FROM __THIS__")
     restore = SQLTransformer(statement=f"SELECT * EXCEPT ({text_col}, {GIVEN_TEXT}), {GIVEN_TEXT} AS {text_col} FROM __THIS__")
     model = PipelineModel([filler, *counting, *weighting, fitted, decoder, restore])
-    tested = PipelineModel([fitted, decoder]).transform(weighted.filter(F.col(split_col) == "test"))
+    answers = PipelineModel([fitted, decoder])
+    tested = answers.transform(weighted.filter(F.col(TRAINS) & (F.col(split_col) == "test")))
     scores = classification_metrics(tested, label_col).first()
     metrics = {
         "f1": scores["f1"],
@@ -92,7 +105,7 @@ def train(
         "train_rows": train_rows,
         "test_rows": test_rows,
     }
-    return TrainedModel(model, metrics)
+    return TrainedModel(model, metrics, None if predict is None else answers.transform(weighted).select(*predict, PREDICTED))
 
 
 def apply_model(model: PipelineModel, posts: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from postlens.functions.text import is_plain, normalize_text, rule_label
@@ -26,7 +26,11 @@ def add_weak_labels(
 
 def trainable(posts: DataFrame, text_col: str = "text", label_col: str = "weak_label", other: str = TOPIC_RULES.default) -> DataFrame:
     """Posts with a text and a label other than the default."""
-    return posts.filter((F.length(text_col) > 0) & (F.col(label_col) != other))
+    return posts.filter(is_trainable(text_col, label_col, other))
+
+
+def is_trainable(text_col: str = "text", label_col: str = "weak_label", other: str = TOPIC_RULES.default) -> Column:
+    return (F.length(text_col) > 0) & (F.col(label_col) != other)
 
 
 def label_index(labeled: DataFrame, label_col: str = "weak_label") -> DataFrame:

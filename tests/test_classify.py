@@ -191,6 +191,28 @@ def test_no_frequent_terms(spark):
     assert features.frequent_terms(spark.createDataFrame([], "term STRING"), 5).collect() == []
 
 
+@pytest.mark.parametrize("kind", ["hashed", "grams"])
+def test_predictions_from_the_table_are_those_of_the_texts(spark, tmp_path, monkeypatch, kind):
+    rows = [(f"{n}{i}", f"{text} number {i % 7}", n) for n, text in TOPICS.items() for i in range(30)]
+    rows += [("null", None, "other"), ("empty", "", "flood"), ("o", "water in the hills", "other"), ("no", "smoke", None)]
+    spark.createDataFrame(rows, "id STRING, text STRING, weak_label STRING").write.parquet(f"{tmp_path}/posts")
+    frame = splits.add_split(spark.read.parquet(f"{tmp_path}/posts"))
+    read = []
+
+    def recorded(frame, name, write=classify.kept):
+        read.append(any("/posts/" in f for f in frame.inputFiles()))
+        return write(frame, name)
+
+    monkeypatch.setattr(classify, "kept", recorded)
+    trained = classify.train(frame, features=kind, max_iter=10, predict=("id", "split"))
+    assert read.count(True) == 1 and not any("/posts/" in f for f in trained.predicted.inputFiles())
+    assert trained.predicted.columns == ["id", "split", classify.PREDICTED]
+    applied = classify.apply_model(trained.model, frame).select(*trained.predicted.columns)
+    assert sorted(trained.predicted.collect()) == sorted(applied.collect()) and applied.count() == 94
+    alone = classify.train(frame, features=kind, max_iter=10)
+    assert alone.metrics == trained.metrics and alone.predicted is None
+
+
 @pytest.mark.parametrize("size, most", [(5, 1000), (40, 1000), (5, 2), (10_000, 1000)])
 def test_frequent_grams_count_only_pairs_that_can_be_among_them(spark, monkeypatch, size, most):
     texts = [" ".join(f"w{int(40 / (1 + (i * 7 + k * k) % 31))}" for k in range(i % 9)) for i in range(300)]
