@@ -39,10 +39,18 @@ def hashed_stages(text_col: str = "text", features_col: str = "features", size:
 
 
 def term_counts(posts: DataFrame, id_col: str = "id", text_col: str = "text") -> DataFrame:
-    """Occurrences of each word in each post. Rows of a post meet in its own partition, before the shuffle."""
-    words = posts.select(id_col, space_words(F.col(text_col)).alias("_words"))
-    terms = words.select(id_col, F.explode_outer("_words").alias("term")).filter(F.col("term").isNotNull())
-    return terms.groupBy(id_col, "term").agg(F.count(F.lit(1)).alias("tf"))
+    """Occurrences of each word in each post.
+
+    Words are counted within their row, as runs of its sorted words, without a shuffle. Rows with the same id are one
+    post: only if an id is repeated, which a count of the ids tells first, the counts are added up.
+    """
+    words = posts.select(id_col, F.sort_array(space_words(F.col(text_col))).alias("_words"))
+    first = F.array_compact(F.transform("_words", lambda w, i: F.when((i == 0) | (F.get("_words", i - 1) != w), i)))
+    runs = F.transform("_starts", lambda s, k: F.struct(F.get("_words", s).alias("term"), (F.coalesce(F.get("_starts", k + 1), F.size("_words")) - s).cast("bigint").alias("tf")))
+    counted = words.select("*", first.alias("_starts")).select(id_col, F.explode_outer(runs).alias("_run")).select(id_col, "_run.term", "_run.tf")
+    counted = counted.filter(F.col("term").isNotNull())
+    repeated = posts.groupBy(id_col).agg(F.count(F.lit(1)).alias("_rows")).filter(F.col("_rows") > 1)
+    return counted if repeated.isEmpty() else counted.groupBy(id_col, "term").agg(F.sum("tf").alias("tf"))
 
 
 def term_frequency(posts: DataFrame, text_col: str = "text") -> DataFrame:

@@ -223,3 +223,15 @@ def test_frequent_grams_count_only_pairs_that_can_be_among_them(spark, monkeypat
     monkeypatch.setattr(features, "gram_counts_of", lambda *a, count=features.gram_counts_of: plain.append(1) or count(*a))
     got = features.frequent_grams(words, size, most=most)
     assert [tuple(r) for r in got.collect()] == best and len(plain) == (most == 2)
+
+
+def test_words_of_unlike_ids_are_counted_without_a_shuffle(spark, explain):
+    texts = ["b a b", "", None, " a  a", "x", "\n", "é e É"]
+    expected = collections.Counter((i, w) for i, t in enumerate(texts) if t is not None for w in (t.lower().rstrip().replace("\n", " ").split(" ") if t.strip() or not t else []))
+    once = spark.createDataFrame(list(enumerate(texts)), "id BIGINT, text STRING").repartition(3)
+    found = features.term_counts(once)
+    assert {(r["id"], r["term"]): r["tf"] for r in found.collect()} == expected and found.count() == len(expected)
+    assert "hashpartitioning" not in explain(found)
+    twice = once.union(once.filter("id > 3")).union(spark.createDataFrame([(None, "n n"), (None, "n m")], once.schema))
+    got = {(r["id"], r["term"]): r["tf"] for r in features.term_counts(twice).collect()}
+    assert got == {**{k: n * (2 if k[0] > 3 else 1) for k, n in expected.items()}, (None, "n"): 3, (None, "m"): 1}
