@@ -105,6 +105,14 @@ def linked(a: np.ndarray, b: np.ndarray) -> bool:
     both = int((large[at] == small).sum())
     return 100 * both >= PERCENT * (len(a) + len(b) - both)
 
+def often_held(tokens: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """The values that occur ``least`` times or more, ascending, and their counts. Sorts the array in place and makes no
+    other of its size, since all tokens that a task counts together lie in it."""
+    tokens.sort()
+    if len(tokens) < least:
+        return tokens[:0], np.empty(0, np.int64)
+    values = np.unique(tokens[: len(tokens) - least + 1][tokens[: len(tokens) - least + 1] == tokens[least - 1 :]])
+    return values, (np.searchsorted(tokens, values, "right") - np.searchsorted(tokens, values)).astype(np.int64)
 
 
 def _survey(batches_of):
@@ -114,11 +122,12 @@ def _survey(batches_of):
         held, size, seen = [], 0, set()
 
         def counted():
-            values, counts = np.unique(np.concatenate(held), return_counts=True)
-            often = counts >= max(4, size // FREQUENT)
+            tokens = np.concatenate(held)
+            held.clear()
+            values, counts = often_held(tokens, max(4, size // FREQUENT))
+            none = pa.nulls(len(values), pa.int64())
             return pa.RecordBatch.from_arrays(
-                [pa.nulls(int(often.sum()), pa.int64()), pa.nulls(int(often.sum()), pa.int64()), pa.array(counts[often].astype(np.int64)), pa.array(values[often].view(np.int64)), pa.array(np.ones(int(often.sum()), bool))],
-                names=["id", "mark", "n", "set", "is_token"],
+                [none, none, pa.array(counts), pa.array(values.view(np.int64)), pa.array(np.ones(len(values), bool))], names=["id", "mark", "n", "set", "is_token"]
             )
 
         for keys, texts in batches_of(batches):
@@ -233,7 +242,7 @@ def _teller(batches_of):
 def _with_leader(batches):
     for batch in batches:
         sets, tokens, leaders, theirs = (batch.column(i) for i in range(4))
-        hit = [linked(np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)) for a, b in zip(tokens.to_pylist(), theirs.to_pylist())]
+        hit = [linked(np.frombuffer(a.as_buffer(), np.uint64), np.frombuffer(b.as_buffer(), np.uint64)) for a, b in zip(tokens, theirs)]
         yield pa.RecordBatch.from_arrays([sets, leaders], names=["a", "b"]).filter(pa.array(hit, pa.bool_()))
 
 

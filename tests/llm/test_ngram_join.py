@@ -126,3 +126,34 @@ def test_groups_open_for_every_partner():
     for query in sets:
         opened = {i for g in matrix.qualifying(query) for i in matrix.groups[g]}
         assert {i for i, s in enumerate(sets) if nj.linked(query, s)} <= opened
+
+
+def test_tokens_counted_together_are_held_in_little_memory(monkeypatch):
+    """The tokens of a task are counted exactly, in under four times their own bytes."""
+    import tracemalloc
+
+    monkeypatch.setattr(nj, "COUNTED", 1 << 18)
+    common = " ".join(words(998, 30, 10**6))
+    texts = [f"{common} {' '.join(words(k, 900, 10**6))}".encode() for k in range(310)]
+    given = [([{"id": k, "mark": 0}], [t]) for k, t in enumerate(texts)]
+    counted = np.concatenate([nj.shingle_sets([t])[0] for t in texts])
+    assert len(counted) > 1 << 18
+    tracemalloc.start()
+    before = tracemalloc.get_traced_memory()[0]
+    out = [batch for batch in nj._survey(lambda _: given)(None)]
+    peak = tracemalloc.get_traced_memory()[1] - before
+    tracemalloc.stop()
+    times = {}
+    for r in (r for batch in out for r in batch.to_pylist() if r["is_token"]):
+        times[r["set"]] = times.get(r["set"], 0) + r["n"]
+    assert list(times.values()) == [310] * 26  # the shingles of the common passage
+    assert peak < 4 * 8 * (1 << 18)
+
+
+@pytest.mark.parametrize("least", [1, 2, 4, 50])
+def test_often_held_equals_plain_counts(least):
+    tokens = np.array([random.Random(least).randrange(200) ** 2 for _ in range(3000)] + [7] * 90, dtype=np.uint64)
+    values, counts = np.unique(tokens, return_counts=True)
+    got, times = nj.often_held(tokens.copy(), least)
+    assert got.tolist() == values[counts >= least].tolist() and times.tolist() == counts[counts >= least].tolist()
+    assert nj.often_held(np.empty(0, np.uint64), least)[0].tolist() == []
