@@ -13,6 +13,9 @@ from postlens.params import AFFECTS
 # A lexicon within these bounds is broadcast.
 BROADCAST_ROWS = 500_000
 BROADCAST_BYTES = 64 << 20
+# The tokens of a lexicon within these bounds can stand in an expression.
+KNOWN_ROWS = 20_000
+KNOWN_BYTES = 1 << 20
 # Not a word, as words hold no blanks: every text has it once, so its hits count the copies of a text.
 COPY = " "
 
@@ -36,6 +39,13 @@ def fits_broadcast(table: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes:
     return found["n"] <= max_rows and (found["bytes"] or 0) <= max_bytes
 
 
+def few_tokens(table: DataFrame, max_rows: int = BROADCAST_ROWS) -> list[str] | None:
+    """The tokens of a table, or None if they are too many for an expression."""
+    if not fits_broadcast(table, min(max_rows, KNOWN_ROWS), KNOWN_BYTES):
+        return None
+    return [row[0] for row in table.select("token").collect()]
+
+
 def one_valence(lexicon: DataFrame) -> DataFrame:
     """The lexicon with each token once; raises where a token has several valences."""
     table = lexicon.select("token", F.col("valence").cast("double").alias("valence")).where("token IS NOT NULL AND valence IS NOT NULL").distinct()

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from postlens.functions.symbols import symbol_words
 from postlens.functions.text import NOT_SPACE, affect_tokens
 from postlens.operators.emotion import affect_aggregates, affect_map, found_affects
-from postlens.operators.lexicon import BROADCAST_ROWS, COPY, Lexicon, affect_flags, join_scores, one_valence, text_key, with_copy
+from postlens.operators.lexicon import BROADCAST_ROWS, COPY, Lexicon, affect_flags, few_tokens, join_scores, one_valence, text_key, with_copy
 from postlens.params import AFFECTS, NEGATIVE_UPTO, POSITIVE_FROM, SENTIMENT_RULES, SentimentRules
 
 SCORES = ("sentiment_compound", "sentiment_pos", "sentiment_neu", "sentiment_neg")
@@ -75,51 +75,27 @@ def rule_sums(
     counts of its tokens, from one pass over the text.
 
     Each token is exploded together with the three words before it and the two after it, so the rules need neither a
-    window nor a shuffle by position, and no row carries more than six words.
+    window nor a shuffle by position, and no row carries more than six words. Of a lexicon with few tokens only the words
+    that are in it are exploded at all.
     """
     table = one_valence(lexicon)
+    known = few_tokens(table, max_rows)
+    known_affects = None
     if affect_lexicon is not None:
-        marked = affect_flags(affect_lexicon, affects).withColumn("token", F.concat(F.lit(AFFECT_MARK), "token"))
+        flagged = affect_flags(affect_lexicon, affects)
+        known_affects = few_tokens(flagged, max_rows)
+        marked = flagged.withColumn("token", F.concat(F.lit(AFFECT_MARK), "token"))
         table = table.unionByName(marked, allowMissingColumns=True)
     lookup = Lexicon(with_copy(table), max_rows)
-    said = posts.select(
-        id_col,
-        text_key(F.col(text_col)).alias("_text_key"),
-        F.coalesce(F.col(text_col), F.lit("")).alias("_own"),
-        symbol_words(F.coalesce(F.col(text_col), F.lit("")), rules.symbols).alias("_text"),
-    )
-    words = said.select("*", scored_words(F.col("_text")).alias("_words"))
-    # What belongs to the whole post is computed before the explode: beside it, it would be computed per token. The
-    # outer explode keeps Spark from inferring a filter on the size of the array, which would build the array twice.
-    added = F.array(F.lit(COPY))
-    if affect_lexicon is not None:
-        added = F.concat(F.transform(affect_tokens(F.col("_own")), lambda t: F.concat(F.lit(AFFECT_MARK), t)), added)
-    prepared = words.select(
-        id_col,
-        "_text_key",
-        F.size("_words").alias("_n"),
-        caps_differ(F.col("_words")).alias("_caps"),
-        F.when(F.lower("_text").contains(rules.contrast), first_place(F.col("_words"), rules.contrast)).alias("_turn"),
-        emphasis(F.col("_text"), rules).alias("_emphasis"),
-        added.alias("_added"),
-        *neighbour_arrays(F.col("_words")),
-    )
-    whole = [id_col, "_text_key", "_n", "_caps", "_turn", "_emphasis"]
-    none = F.lit(None).cast("string")
-    alone = F.transform("_added", lambda t: F.struct(*[(t if n == "w0" else none).alias(n) for n in ("b3", "b2", "b1", "w0", "a1", "a2")]))
-    placed = prepared.select(*whole, F.concat(F.arrays_zip("b3", "b2", "b1", "w0", "a1", "a2"), alone).alias("_places"))
-    rows = placed.select(*whole, F.posexplode_outer("_places").alias("_i", "_near"))
-    tokens = rows.withColumn("_w0", F.lower("_near.w0")).filter(
-        f"_w0 IS NOT NULL AND _w0 NOT IN {listed([*rules.boosters_up, *rules.boosters_down])}"
-    )
+    tokens = token_places(posts, id_col, text_col, rules, known, affect_lexicon is not None, known_affects)
     flags = [f"_f{i}" for i in range(len(affects))] if affect_lexicon is not None else []
     hits = lookup.join(tokens, "_w0", [id_col, "_text_key"]).selectExpr(
         f"`{id_col}`",
         *["_text_key", "_n", "_caps", "_turn", "_emphasis", "_i", "_w0", "valence AS _valence", *flags],
-        *[f"lower(_near.{name}) AS _{name}" for name in ("b1", "b2", "b3", "a1", "a2")],
+        *[f"lower(get(_near, {k})) AS _{name}" for k, name in enumerate(NEAR) if name != "w0"],
         # As an array function this also ends the generated loop over all tokens here: with the rules in it, the loop
         # would be too long for the JVM to compile.
-        "transform(array(_near.w0, _near.b1, _near.b2, _near.b3), w -> w = upper(w) AND w <> lower(w)) AS _ups",
+        f"transform(array(_near[3], _near[2], _near[1], _near[0]), w -> {all_caps('w')}) AS _ups",
     )
     for name in ("_b1", "_b2", "_b3", "_a1"):
         hits = lookup.join(hits, name, [id_col, "_text_key"], "left", prefix=f"{name}_", columns=["valence"])
@@ -135,6 +111,60 @@ def rule_sums(
     )
 
 
+def token_places(
+    posts: DataFrame,
+    id_col: str,
+    text_col: str,
+    rules: SentimentRules,
+    known: Sequence[str] | None = None,
+    affects: bool = False,
+    known_affects: Sequence[str] | None = None,
+) -> DataFrame:
+    """One row for each word ``_w0`` that is no degree word, with its place ``_i`` and its neighbours ``_near``; one for
+    each affect token, if wanted, and one for each post. Words and affect tokens outside of the known ones are left out
+    before the explode.
+    """
+    said = posts.select(
+        id_col,
+        text_key(F.col(text_col)).alias("_text_key"),
+        F.coalesce(F.col(text_col), F.lit("")).alias("_own"),
+        symbol_words(F.coalesce(F.col(text_col), F.lit("")), rules.symbols).alias("_text"),
+    )
+    felt = affect_tokens(F.col("_own")) if affects else F.array().cast("array<string>")
+    listened = said.select(
+        id_col,
+        "_text_key",
+        F.expr(spoken("_text", rules, known)).alias("_spoken"),
+        emphasis(F.col("_text"), rules).alias("_emphasis"),
+        felt.alias("_felt"),
+    )
+    # What belongs to the whole post is computed before the explode: beside it, it would be computed per token. The
+    # outer explode keeps Spark from inferring a filter on the size of the array, which would build the array twice.
+    # Capitals count next to a hit only, so a text without any there has none.
+    shouted = f"coalesce(exists(_spoken.places, p -> exists(slice(p.near, 1, 4), w -> {all_caps('w')})), false)"
+    kept = "_felt" if known_affects is None else f"filter(_felt, w -> w IN {listed(known_affects)})"
+    prepared = listened.selectExpr(
+        f"`{id_col}`",
+        "_text_key",
+        "_spoken.n AS _n",
+        f"_spoken.small AND {shouted} AS _caps",
+        f"get(filter(_spoken.places, p -> lower(get(p.near, {AT})) = {literal(rules.contrast)}), 0).i AS _turn",
+        "_emphasis",
+        "_spoken.places AS _said",
+        f"{kept} AS _felt",
+    )
+    whole = [id_col, "_text_key", "_n", "_caps", "_turn", "_emphasis"]
+    alone = F.lit(None).cast("array<string>")
+    added = F.concat(
+        F.transform("_felt", lambda t, i: F.struct(i.alias("i"), F.concat(F.lit(AFFECT_MARK), t).alias("token"), alone.alias("near"))),
+        F.array(F.struct(F.lit(None).cast("int").alias("i"), F.lit(COPY).alias("token"), alone.alias("near"))),
+    )
+    placed = prepared.select(*whole, F.concat("_said", added).alias("_places"))
+    rows = placed.select(*whole, F.explode_outer("_places").alias("_place"))
+    tokens = rows.select(*whole, F.col("_place.i").alias("_i"), F.coalesce("_place.token", F.lower(F.get("_place.near", F.lit(AT)))).alias("_w0"), F.col("_place.near").alias("_near"))
+    return tokens.filter(f"_w0 IS NOT NULL AND _w0 NOT IN {listed(boosters(rules))}")
+
+
 def scores_of_sums(sums: DataFrame, id_col: str, rules: SentimentRules, *more: str) -> DataFrame:
     """The scores from the sums; null where an id and text has no hit."""
     # Rounded, so that the signs do not depend on the order in which the scores were added up.
@@ -218,37 +248,41 @@ def add_sentiment(
 
 # --- words and their context ---------------------------------------------------------------------------------------
 
-def scored_words(text: Column) -> Column:
-    """Words between white space, without outer punctuation unless two or fewer characters would remain."""
+#: Distances of the three words before a word, itself, and the two after it.
+NEAR = {"b3": -3, "b2": -2, "b1": -1, "w0": 0, "a1": 1, "a2": 2}
+AT = list(NEAR).index("w0")
 
-    def stripped(word: Column) -> Column:
-        inner = F.btrim(word, F.lit(punctuation))
-        return F.when(F.length(inner) <= 2, word).otherwise(inner)
 
-    return F.transform(F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(NOT_SPACE), F.lit(0)), stripped)
+def spoken(text: str, rules: SentimentRules, known: Iterable[str] | None) -> str:
+    """Number of words of a text (n), whether some are not in capitals (small), and place and neighbours of each word that
+    is known or a contrast word (places).
 
-
-def all_caps(word: Column) -> Column:
-    return (word == F.upper(word)) & (word != F.lower(word))
+    Words are cut, kept and dropped within one expression, since an array of all words that is passed from one
+    projection to the next costs more than cutting it. The lambda over one element stands for the words, which are used
+    several times.
+    """
+    wanted = "true" if known is None else f"w IN {listed({*known, rules.contrast})}"
+    marks = f"transform(transform(ws, w -> lower({stripped('w')})), (w, i) -> CASE WHEN {wanted} THEN i END)"
+    near = f"transform(array({', '.join(f'get(ws, i + {k})' for k in NEAR.values())}), w -> {stripped('w')})"
+    at = f"filter({marks}, i -> i IS NOT NULL)"
+    places = f"transform({at}, i -> named_struct('i', i, 'token', CAST(NULL AS STRING), 'near', {near}))"
+    whole = f"named_struct('n', size(ws), 'small', exists(ws, w -> NOT ({all_caps('w')})), 'places', {places})"
+    return f"transform(array(regexp_extract_all({text}, {literal(NOT_SPACE)}, 0)), ws -> {whole})[0]"
 
 
-def caps_differ(words: Column) -> Column:
-    """Some words, but not all, are in capitals."""
-    return F.exists(words, all_caps) & F.exists(words, lambda w: ~all_caps(w))
+def boosters(rules: SentimentRules) -> list[str]:
+    return [*rules.boosters_up, *rules.boosters_down]
 
 
-def first_place(words: Column, word: str) -> Column:
-    """Position of the first occurrence of a word in any case, or null."""
-    place = F.array_position(F.transform(words, F.lower), word)
-    return F.when(place > 0, place - 1)
+def stripped(word: str) -> str:
+    """A word without outer punctuation, unless two or fewer characters would remain."""
+    inner, marks = f"btrim({word}, {literal(punctuation)})", listed(punctuation)
+    edged = f"substr({word}, 1, 1) IN {marks} OR substr({word}, -1, 1) IN {marks}"
+    return f"CASE WHEN ({edged}) AND length({inner}) > 2 THEN {inner} ELSE {word} END"
 
 
-def neighbour_arrays(words: Column) -> list[Column]:
-    """The words shifted so that equal places hold a word w0, the three before it (b1 to b3) and the two after it."""
-    none = F.lit(None).cast("string")
-    before = [F.concat(F.array_repeat(none, k), words).alias(f"b{k}") for k in (1, 2, 3)]
-    after = [F.slice(words, k + 1, F.size(words)).alias(f"a{k}") for k in (1, 2)]
-    return [*before, words.alias("w0"), *after]
+def all_caps(word: str) -> str:
+    return f"{word} = upper({word}) AND {word} <> lower({word})"
 
 
 def emphasis(text: Column, rules: SentimentRules) -> Column:
