@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 #: Parts of a larger table; a map is searched from its first entry on.
 PARTS = 64
+#: So many symbols are looked for one by one, which is faster than a pattern.
+SINGLE = 16
 
 
 def symbol_words(text: Column, words: Mapping[str, str]) -> Column:
@@ -39,4 +43,5 @@ def symbol_words(text: Column, words: Mapping[str, str]) -> Column:
 
     pieces = F.regexp_extract_all(text, F.lit(f"[{listed}]|[^{listed}]+"), F.lit(0))
     # a lambda over one element: the pieces are cut once, though each looks at the one before it
-    return F.when(text.rlike(f"[{listed}]"), F.get(F.transform(F.array(pieces), spelled), F.lit(0))).otherwise(text)
+    held = reduce(or_, map(text.contains, words)) if len(words) <= SINGLE else text.rlike(f"[{listed}]")
+    return F.when(held, F.get(F.transform(F.array(pieces), spelled), F.lit(0))).otherwise(text)
