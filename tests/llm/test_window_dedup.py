@@ -1,5 +1,6 @@
 import collections
 import random
+import re
 
 import numpy as np
 import pytest
@@ -72,3 +73,54 @@ def test_the_texts_are_shuffled_once(spark, edge):
         assert "ReusedExchange" in plan
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def passages(rows, count):
+    """Brute force of n_repeated, by (doc_id, text)."""
+    cut = [[(m.group(), m.start(), m.end()) for m in re.finditer(rb"[^\x20\x09-\x0D]+", (t or "").encode())] for _, t, *_ in rows]
+    keys = [[tuple(x[0] for x in c[k : k + count]) for k in range(len(c) - count + 1)] for c in cut]
+    seen = collections.Counter(k for each in keys for k in each)
+    out = []
+    for (i, t, *_), c, each in zip(rows, cut, keys):
+        gone = np.zeros(len((t or "").encode()), bool)
+        for k, key in enumerate(each):
+            if seen[key] > 1:
+                gone[c[k][1] : c[k + count - 1][2]] = True
+        out.append((i, t, int(gone.sum())))
+    return out
+
+
+@pytest.mark.parametrize("count, group", [(3, 20_000), (6, 0), (9, 3), (12, 20_000)])
+def test_passages_as_brute_force(spark, count, group):
+    rng = random.Random(count)
+    letters = ["a", "b", "\u00e9", "long-word", "\u0416" * 9, "x\u00a0y"]
+    parts = [[rng.choice(letters) for _ in range(rng.randint(3, 25))] for _ in range(15)]
+    space = [" ", "  ", "\n", "\t \r\n", "\x0b"]
+    rows = [(None, None), (1, ""), (2, " \n"), (3, "a"), (3, "a b a b a b a b a b a b a b a b"), (4, " b"), (None, "b ")]
+    for i in range(60):
+        own = [x for _ in range(rng.randint(0, 4)) for x in rng.choice(parts)[rng.randint(0, 4) :]]
+        rows.append((i + 9 if rng.random() < 0.9 else None, rng.choice(["", " "]) + "".join(x + rng.choice(space) for x in own)))
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = w.remove_repeated(frame, depth=30, gram=6, group=group, passage=count).collect()
+    size = lambda t: len((t or "").encode())
+    assert sorted(((r["doc_id"], r["n_bytes"], r["n_repeated"]) for r in got), key=repr) == sorted(((i, size(t), n) for i, t, n in passages(rows, count)), key=repr)
+    assert sorted(((*tuple(r)[:4], bytes(r["kept"])) for r in got), key=repr) == expected(rows, 30)
+
+
+def test_query_counts_passages_of_fewer_bytes_than_the_depth(spark, tmp_path):
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choices("abcdefgh", k=4))
+    passage = " ".join(word() for _ in range(60))  # 299 bytes
+    texts = [" ".join(word() for _ in range(80)) for _ in range(6)]
+    rows = [(i, f"{t} {passage} {t[::-1]}" if i < 2 else t) for i, t in enumerate(texts)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = sorted(tuple(r) for r in w.op9_window_dedup(spark, str(tmp_path)).select("doc_id", "n_bytes", "n_removed", "n_repeated").collect())
+    assert got == [(i, len(t), 0, 299 if i < 2 else 0) for i, t in rows]
+
+
+def test_words_depend_on_their_bytes_alone():
+    texts = [b" ab\n", b"", b"ab abc", b"ba", b"\t"]
+    hashes, first, counts, begin, end = w.cut_words(texts)
+    assert counts.tolist() == [1, 0, 2, 1, 0] and first.tolist() == [0, 1, 1, 3, 4]
+    assert begin.tolist() == [1, 0, 3, 0] and end.tolist() == [3, 2, 6, 2]
+    assert hashes[0] == hashes[1] and len(set(hashes.tolist())) == 3
