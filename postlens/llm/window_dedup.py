@@ -128,10 +128,21 @@ def _word_runs(texts: list[bytes], passage: int):
 
 
 def _emit(depth: int, gram: int, passage: int):
+    """Each run of a text once, with how often it occurs there."""
+
     def work(keys, texts):
         for found in (runs(texts, depth, gram), _word_runs(texts, passage)[0] if passage else None):
-            if found:
-                yield pa.RecordBatch.from_arrays([pa.array(found[1]), pa.array(found[2]), pa.array(keys, pa.int64()).take(pa.array(found[0]))], names=["first", "second", "id"])
+            if not found:
+                continue
+            owner, first, second = found[:3]
+            order = np.lexsort((second, first, owner))
+            owner, first, second = owner[order], first[order], second[order]
+            fresh = np.flatnonzero(np.concatenate(([True], (owner[1:] != owner[:-1]) | (first[1:] != first[:-1]) | (second[1:] != second[:-1]))))
+            times = np.diff(np.append(fresh, len(owner)))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(first[fresh]), pa.array(second[fresh]), pa.array(keys, pa.int64()).take(pa.array(owner[fresh])), pa.array(times)],
+                names=["first", "second", "id", "times"],
+            )
 
     return work
 
@@ -328,10 +339,10 @@ def remove_repeated(docs: DataFrame, depth: int = DEPTH, gram: int = GRAM, group
     which also start anywhere else, whatever space is between them. They are removed only if they are in ``depth`` bytes.
     """
     rows = docs.select("doc_id", text_of().alias("text"))
-    every = over_texts(rows, _emit(depth, gram, passage), "first long, second long, id long", "doc_id", limit=TOGETHER)
-    # one shuffle by the first digit serves all counts: n rows with both digits, the first of them leads; distinct strings of a first digit
+    every = over_texts(rows, _emit(depth, gram, passage), "first long, second long, id long, times long", "doc_id", limit=TOGETHER)
+    # one shuffle by the first digit serves all counts: n runs with both digits, the first of them leads; distinct strings of a first digit
     same, alike = Window.partitionBy("first", "second"), Window.partitionBy("first")
-    counted = every.repartition("first").withColumn("lead", F.row_number().over(same.orderBy("id")) == 1).withColumn("n", F.count(F.lit(1)).over(same))
+    counted = every.repartition("first").withColumn("lead", F.row_number().over(same.orderBy("id")) == 1).withColumn("n", F.sum("times").over(same))
     counted = counted.withColumn("strings", F.sum(F.col("lead").cast("long")).over(alike)).withColumn("any_one", F.max(F.col("n") == 1).over(alike))
     split = (F.col("strings") > 1) & F.col("any_one")
     counted = keep(counted.where((F.col("n") > 1) | split).select("first", "second", "id", "lead", "n", "strings", split.alias("split")), "window-runs")

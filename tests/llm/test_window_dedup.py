@@ -3,6 +3,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from postlens.llm import window_dedup as w
@@ -124,3 +125,20 @@ def test_words_depend_on_their_bytes_alone():
     assert counts.tolist() == [1, 0, 2, 1, 0] and first.tolist() == [0, 1, 1, 3, 4]
     assert begin.tolist() == [1, 0, 3, 0] and end.tolist() == [3, 2, 6, 2]
     assert hashes[0] == hashes[1] and len(set(hashes.tolist())) == 3
+
+
+def test_runs_that_repeat_within_a_text_are_sent_once():
+    texts = [b"one two three four\n" * 300, b"", b"one two three four\n" * 200]
+    rows = pa.Table.from_batches(w._emit(40, 8, 6)([7, 8, None], texts)).to_pylist()
+    assert len(rows) < 60 and len({(r["first"], r["second"], r["id"]) for r in rows}) == len(rows)
+    assert sum(r["times"] for r in rows) == len(w.runs(texts, 40, 8)[0]) + len(w._word_runs(texts, 6)[0][0])
+
+
+@pytest.mark.parametrize("group", [20_000, 0])
+def test_repeats_within_texts_as_brute_force(spark, group):
+    line = "one two three four\n"
+    rows = [(1, line * 30), (2, line * 20 + "five " + line * 3), (3, "other words that stay alone here"), (4, "six seven " * 9)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = w.remove_repeated(frame, depth=40, gram=8, group=group, passage=6).collect()
+    assert sorted((r["doc_id"], r["n_repeated"]) for r in got) == [(i, n) for i, _, n in passages(rows, 6)]
+    assert sorted(((*tuple(r)[:4], bytes(r["kept"])) for r in got), key=repr) == expected(rows, 40)
